@@ -249,3 +249,7 @@ def q_convergence(spark, sf):
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return q_metrics(spark, sf)
+
+
+# further query groups register themselves on import
+from . import q_prep  # noqa: E402,F401
