@@ -252,4 +252,4 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # further query groups register themselves on import
-from . import q_prep  # noqa: E402,F401
+from . import q_prep, q_split  # noqa: E402,F401
