@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ranking import exact_quantiles
 
 # fixed metric names and order of the run tables
@@ -25,18 +26,24 @@ def _finite_ratio_score(num, den):
 
 
 def regression_metrics(df: DataFrame, label: str = "y", prediction: str = "p",
-                       by: Sequence[str] = ()) -> DataFrame:
+                       by: Sequence[str] = (), materialize: bool = False) -> DataFrame:
     """One row per ``by`` group with the nine metric columns of ``METRICS``.
 
     Semantics: R2/EVS use population variances and return 1 (perfect) or 0
     for a constant label; MAPE is a percentage over rows with label != 0
     (NULL when none); RMSLE shifts both columns by ``|min|+1`` when the group
-    minimum of either column is negative, then clips at 0."""
+    minimum of either column is negative, then clips at 0.
+
+    ``materialize`` checkpoints the ``(by, y, p)`` projection first, so an
+    expensive prediction (a model transform) is evaluated once for the
+    several passes instead of once per pass."""
     grouped = bool(by)
     keys = list(by) if grouped else ["_g"]
     base = df.select(*([F.col(b) for b in by] if grouped else [F.lit(0).alias("_g")]),
                      F.col(label).cast("double").alias("_y"),
                      F.col(prediction).cast("double").alias("_p"))
+    if materialize:
+        base = cut_lineage(base)
     mins = base.groupBy(*keys).agg(F.min(F.least("_y", "_p")).alias("_m"))
     shift = F.when(F.col("_m") < 0, F.abs("_m") + 1).otherwise(F.lit(0.0))
     e = F.col("_y") - F.col("_p")
