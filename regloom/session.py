@@ -15,7 +15,7 @@ TABLES = (
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "regloom") -> SparkSession:
+                  app: str = "regloom", memory: str = "4g") -> SparkSession:
     """Session for tests and the bench. On a cluster, use the cluster's own
     session; nothing in the library depends on this builder."""
     builder = (
@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
