@@ -76,29 +76,62 @@ def target_summary(df: DataFrame, target: str, coerce: bool = True) -> DataFrame
 
 def correlation_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation of all numeric columns as a
-    long table ``(col_a, col_b, corr)`` covering the full matrix. Constant
-    columns give NULL (not an ANSI divide error). One aggregate pass holds
-    every unordered pair."""
+    long table ``(col_a, col_b, corr)`` covering the full matrix. A constant
+    column gives NULL (never an ANSI divide error).
+
+    Two passes of plain sums (cheap, code-generated aggregates): pass 1 the
+    column means, min and max; pass 2 sums of products of mean-shifted values
+    (the shifted-data form keeps the moment differences accurate). Pairs with
+    a column that has missing values use masks so each pair sees the rows where
+    both are present."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    aggs = []
-    pairs = []
+    vals = {c: _v(df, c).cast("double") for c in cols}
+    p1 = df.agg(*[F.avg(vals[c]).alias(f"m{i}") for i, c in enumerate(cols)],
+                *[F.count(vals[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                *[F.min(vals[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
+                *[F.max(vals[c]).alias(f"hi{i}") for i, c in enumerate(cols)],
+                F.count(F.lit(1)).alias("_rows")).first()
+    rows = p1["_rows"]
+    shift = {c: (p1[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
+    complete = {c: p1[f"n{i}"] == rows for i, c in enumerate(cols)}
+    constant = {c: p1[f"lo{i}"] is None or p1[f"lo{i}"] == p1[f"hi{i}"] for i, c in enumerate(cols)}
+    sh = {c: vals[c] - F.lit(float(shift[c])) for c in cols}
+    aggs, exprs = [], {}
+    # shared per-column sums for pairs of complete columns
+    for i, c in enumerate(cols):
+        aggs += [F.count(vals[c]).alias(f"c{i}"), F.sum(sh[c]).alias(f"s{i}"),
+                 F.sum(sh[c] * sh[c]).alias(f"q{i}")]
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
             b = cols[j]
-            va, vb = _v(df, a).cast("double"), _v(df, b).cast("double")
-            ma = F.when(vb.isNotNull(), va)
-            mb = F.when(va.isNotNull(), vb)
-            aggs.append(F.try_divide(F.covar_pop(ma, mb),
-                                     F.stddev_pop(ma) * F.stddev_pop(mb)).alias(f"c{i}_{j}"))
-            pairs.append((i, j))
+            if complete[a] and complete[b]:
+                aggs.append(F.sum(sh[a] * sh[b]).alias(f"x{i}_{j}"))
+                n, sa, sb, qa, qb = (F.col(f"c{i}"), F.col(f"s{i}"), F.col(f"s{j}"),
+                                     F.col(f"q{i}"), F.col(f"q{j}"))
+            else:
+                ma = F.when(vals[b].isNotNull(), sh[a])
+                mb = F.when(vals[a].isNotNull(), sh[b])
+                aggs += [F.count(ma).alias(f"pn{i}_{j}"), F.sum(ma).alias(f"pa{i}_{j}"),
+                         F.sum(mb).alias(f"pb{i}_{j}"), F.sum(ma * ma).alias(f"pqa{i}_{j}"),
+                         F.sum(mb * mb).alias(f"pqb{i}_{j}"), F.sum(ma * mb).alias(f"x{i}_{j}")]
+                n, sa, sb, qa, qb = (F.col(f"pn{i}_{j}"), F.col(f"pa{i}_{j}"), F.col(f"pb{i}_{j}"),
+                                     F.col(f"pqa{i}_{j}"), F.col(f"pqb{i}_{j}"))
+            sxy = F.col(f"x{i}_{j}") - sa * sb / n
+            sxx = F.greatest(qa - sa * sa / n, F.lit(0.0))
+            syy = F.greatest(qb - sb * sb / n, F.lit(0.0))
+            r = F.try_divide(sxy, F.sqrt(sxx * syy))
+            if constant[a] or constant[b]:
+                r = F.lit(None).cast("double")
+            # clamp rounding overshoot; greatest/least would turn NULL into a bound
+            exprs[(i, j)] = F.when(r.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r)))
     wide = df.agg(*aggs)
     entries = []
-    for i, j in pairs:
+    for (i, j), e in exprs.items():
         entries.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                                F.col(f"c{i}_{j}").alias("corr")))
+                                e.alias("corr")))
         if i != j:
             entries.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                    F.col(f"c{i}_{j}").alias("corr")))
+                                    e.alias("corr")))
     return wide.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
 
 

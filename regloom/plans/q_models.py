@@ -23,11 +23,10 @@ from ..operators import gram as G
 from ..operators import metrics as M
 from ..operators import report as R
 from ..operators import split as S
-from ..session import load
+from ..session import cut_lineage, load
 from ..sources import io
 from . import search
-from .q_prep import fixture
-from .registry import register, rounded, runs_table, RUNS_CTE
+from .registry import RUNS_CTE, fixture, register, rounded, runs_table
 
 # ---------------------------------------------------------------------------
 # kernels with fixed parameters on part
@@ -201,6 +200,8 @@ def order_features(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str],
     t = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
          .select("o_orderkey", F.col("n_lines").cast("double").alias("n_lines"), "qty", "disc", "tax",
                  "month", "c_acctbal", "o_orderpriority", "c_mktsegment", "target"))
+    # several eager passes follow (levels, min/max, split boundaries): pin the table once
+    t = cut_lineage(t)
     enc, _ = N.encode(t, ["o_orderpriority", "c_mktsegment"])
     feats = [c for c in enc.columns if c not in ("o_orderkey", "target")]
     scaled = N.minmax_scale(enc, feats)

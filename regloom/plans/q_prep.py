@@ -15,18 +15,10 @@ from ..operators import clean as C
 from ..operators import encode as N
 from ..operators import missing as D
 from ..operators import profile as E
-from ..session import TABLES, load
+from ..session import load
 from ..sources import io
 from . import preprocess
-from .registry import register, rounded
-
-
-def fixture(spark: SparkSession, sf: str, sql: str) -> DataFrame:
-    """Run a fixture SQL text on the parquet tables of ``sf``."""
-    for t in TABLES:
-        if t in sql:
-            load(spark, sf, t).createOrReplaceTempView(t)
-    return spark.sql(sql)
+from .registry import fixture, register, rounded
 
 
 # ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators import metrics as M
 from ..operators import report as R
-from ..session import load
+from ..session import TABLES, cut_lineage, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def fixture(spark: SparkSession, sf: str, sql: str) -> DataFrame:
+    """Run a fixture SQL text on the parquet tables of ``sf``."""
+    for t in TABLES:
+        if t in sql:
+            load(spark, sf, t).createOrReplaceTempView(t)
+    return spark.sql(sql)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[
         F.round(F.col(f.name), digits).alias(f.name)
@@ -97,8 +105,10 @@ def _round_all(cols: list[str], digits: int = 6) -> str:
 
 
 def runs_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Run table (model, run, nine metrics) derived from the prediction table."""
-    return M.regression_metrics(prediction_table(spark, sf), by=["model", "run"])
+    """Run table (model, run, nine metrics) derived from the prediction table;
+    written once (checkpoint), as the study writes its run table, because
+    every report reads it more than once."""
+    return cut_lineage(M.regression_metrics(prediction_table(spark, sf), by=["model", "run"]))
 
 
 RUNS_CTE = f"WITH {_pred_cte()},\n{_metrics_select('model, run')},\nruns AS (SELECT * FROM agg)"

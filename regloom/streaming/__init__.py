@@ -1,0 +1,6 @@
+"""No stream operators: the studied pipeline processes finite tables only
+(no watermarks, windows, state or late data). The row-wise cleaning
+expressions in ``regloom.functions.parse`` and ``regloom.operators.clean``
+are plain projections and apply unchanged to a ``readStream`` DataFrame; the
+steps that need whole-table statistics (missing-value policy, category
+levels, scaling, model fits) are batch-only by nature."""
