@@ -301,3 +301,112 @@ def q_consolidate(spark, sf):
     runs.where(F.col("model") != "m1").write.mode("overwrite").parquet(f"{root}/dataset_2/all_results")
     allr = io.read_results(spark, root)
     return rounded(R.summarise(allr, by=["dataset", "model"]))
+
+
+# ---------------------------------------------------------------------------
+# F1 / F4 with fixed centres, H6, R9
+# ---------------------------------------------------------------------------
+
+def _u_raw_sql() -> list[str]:
+    e = 2.0
+    d = [f"greatest(sqrt({_sqd_sql(c)}), 1e-10)" for c in CENTRES]
+    raw = [f"(1.0 / ({' + '.join(f'power({di} / {dj}, {e})' for dj in d)} + 1e-10))" for di in d]
+    tot = "(" + " + ".join(raw) + " + 1e-10)"
+    return [f"{raw[i]} / {tot}" for i in range(len(raw))]
+
+
+@register("f1_f4_centre_update_widths", f"""WITH t AS ({PART_X}),
+u AS (SELECT x1, x2, {", ".join(f"{u} AS u{i}" for i, u in enumerate(_u_raw_sql()))} FROM t),
+c AS ({" UNION ALL ".join(
+    f"SELECT {i} AS cluster, sum(power(u{i}, 2.0) * x1) / (sum(power(u{i}, 2.0)) + 1e-10) AS x1, "
+    f"sum(power(u{i}, 2.0) * x2) / (sum(power(u{i}, 2.0)) + 1e-10) AS x2, sum(power(u{i}, 2.0)) AS weight FROM u"
+    for i in range(3))}),
+w AS ({" UNION ALL ".join(
+    f"SELECT {i} AS cluster, greatest(avg(sqrt({_sqd_sql(c)})), 1e-6) * (1 + 0.1) AS width FROM t"
+    for i, c in enumerate(CENTRES))})
+SELECT cluster, round(x1, 6) AS x1, round(x2, 6) AS x2, round(weight, 4) AS weight, round(width, 6) AS width
+FROM c JOIN w USING (cluster)""")
+def q_fcm_update(spark, sf):
+    from ..models.fcm import centre_update, cluster_widths
+    t = fixture(spark, sf, PART_X)
+    frame, u = K.fcm_membership_sql(t.select("x1", "x2"), ["x1", "x2"], CENTRES, 2.0, "_m")
+    upd = centre_update(frame, ["x1", "x2"], u, 2.0)
+    widths = cluster_widths(t, ["x1", "x2"], CENTRES, 0.1)
+    wdf = spark.createDataFrame([(i, float(w)) for i, w in enumerate(widths)], "cluster int, width double")
+    out = upd.join(wdf, "cluster")
+    return out.select("cluster", F.round("x1", 6).alias("x1"), F.round("x2", 6).alias("x2"),
+                      F.round("weight", 4).alias("weight"), F.round("width", 6).alias("width"))
+
+
+@register("h6_best_trial", f"""{RUNS_CTE},
+sc AS (SELECT model, run AS trial, "RMSE" AS value FROM runs),
+r AS (SELECT model, trial, value, row_number() OVER (PARTITION BY model ORDER BY value, trial) AS rn FROM sc)
+SELECT model, trial, round(value, 6) AS value FROM r WHERE rn = 1""")
+def q_best_trial(spark, sf):
+    scores = runs_table(spark, sf).select("model", F.col("run").alias("trial"),
+                                          F.col("RMSE").alias("value"))
+    return rounded(search.best_trial(scores, by=["model"]))
+
+
+@register("r9_report_set", f"""{RUNS_CTE}
+{" UNION ALL ".join(f"SELECT '{m}' AS metric, model, round(avg(\"{m}\"), 6) AS mean, "
+                    f"round(stddev_samp(\"{m}\"), 6) AS std FROM runs GROUP BY model"
+                    for m in ("RMSE", "MAE", "R2", "MAPE"))}""")
+def q_report_set(spark, sf):
+    rep = R.report_set(runs_table(spark, sf))
+    parts = [rounded(rep[f"bar_{m.lower()}"]).withColumn("metric", F.lit(m))
+             for m in ("RMSE", "MAE", "R2", "MAPE")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# S7 / E8 over raw CSV fixtures written from the given tables; H11 grid
+# ---------------------------------------------------------------------------
+
+def _raw_catalog(spark, sf):
+    from ..sources.catalog import default_catalog
+    from .q_prep import CAR_SQL, FLIGHT_SQL, RETAIL_SQL
+    root = io.scratch_path(spark, "raw")
+    io.write_csv(fixture(spark, sf, RETAIL_SQL), f"{root}/data1/superstore.csv")
+    io.write_csv(fixture(spark, sf, FLIGHT_SQL), f"{root}/data2/flight_price.csv")
+    io.write_csv(fixture(spark, sf, CAR_SQL), f"{root}/data3/used_car.csv")
+    # data4 deliberately absent: its failure must not stop the others
+    return root, default_catalog(root)
+
+
+@register("s7_build_all_status")
+def q_build_all(spark, sf):
+    from .preprocess import build_all
+    root, specs = _raw_catalog(spark, sf)
+    status = build_all(spark, specs, f"{root}/processed")
+    built = [spark.read.parquet(f"{root}/processed/processed_{s.index}").select(
+        F.lit(s.index).alias("dataset"), F.count(F.lit(1)).alias("n_rows"))
+        for s in specs if io.path_exists(spark, f"{root}/processed/processed_{s.index}")]
+    sizes = built[0]
+    for b in built[1:]:
+        sizes = sizes.unionByName(b)
+    return status.join(sizes, "dataset", "left")
+
+
+@register("e8_profile_all")
+def q_profile_all(spark, sf):
+    from .eda import run_all_eda
+    _, specs = _raw_catalog(spark, sf)
+    tables, status = run_all_eda(spark, specs)
+    out = None
+    for idx, t in tables.items():
+        part = t["columns"].drop("dtype").withColumn("dataset", F.lit(idx))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("h11_experiment_grid")
+def q_grid(spark, sf):
+    t, feats, label, key = order_features(spark, sf)
+    runs, _ = search.experiment(spark, t, feats, label, key, models=["RBF Network", "ANFIS"],
+                                n_trials=2, n_runs=2, n_folds=3,
+                                overrides={"RBF Network": {"n_init": 1}})
+    return runs

@@ -198,10 +198,11 @@ def cross_validate(spark: SparkSession, train: DataFrame, features: Sequence[str
     return Study(model, trials, scores, cands[best_t], values[best_t], k)
 
 
-def best_trial(scores: DataFrame) -> DataFrame:
-    """H6 over a score table: lowest value, ties -> lowest trial."""
-    return scores.agg(F.min_by(F.struct("trial", "value"), F.struct("value", "trial")).alias("b")).select(
-        "b.trial", "b.value")
+def best_trial(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """H6 over a score table: lowest value, ties -> lowest trial (per study)."""
+    b = F.min_by(F.struct("trial", "value"), F.struct("value", "trial")).alias("b")
+    agg = scores.groupBy(*by).agg(b) if by else scores.agg(b)
+    return agg.select(*by, "b.trial", "b.value")
 
 
 # ---------------------------------------------------------------------------
