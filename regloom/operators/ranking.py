@@ -9,8 +9,11 @@ Everything here instead:
 2. numbers rows inside each sorted partition (``monotonically_increasing_id``
    carries the partition id in its upper 31 bits and the in-partition ordinal
    in the lower 33);
-3. checkpoints that numbered table (range bounds are sampled per job, so the
-   numbering must be pinned before it is used twice);
+3. writes that numbered table once to the shared checkpoint folder as Parquet
+   (range bounds are sampled per job, so the numbering must be pinned before
+   it is used twice); every file holds exactly one partition id, so a later
+   read of "the partitions that hold rank r" skips all other files by their
+   row-group statistics;
 4. builds a small ``(group, partition) -> offset`` table whose size is bounded
    by ``#groups x #partitions``, never by the row count.
 
@@ -24,9 +27,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, partitions_for
+from ..session import cut_lineage, materialize, partitions_for
 
 _LOW33 = (1 << 33) - 1
+# pin the numbered table as Parquet (prunable by partition id) or as an RDD checkpoint
+PIN_AS_PARQUET = True
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -52,13 +57,14 @@ def indexed(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = ()
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
         .drop("_mid")
     )
-    rows = cut_lineage(rows)
+    rows = materialize(rows, "ranked") if PIN_AS_PARQUET else cut_lineage(rows)
     stats = rows.groupBy(*by, "_pid").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    return rows, offsets
+    # small (groups x partitions) but read several times below: compute it once
+    return rows, cut_lineage(offsets)
 
 
 def with_position(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (),
@@ -86,7 +92,9 @@ def rows_at(df: DataFrame, order: Sequence[str | Column], positions: Sequence[in
     wanted = F.array(*[F.lit(int(p)) for p in positions]) if positions else F.array().cast("array<bigint>")
     hit = offsets.where(
         F.exists(wanted, lambda p: (p >= F.col("_off")) & (p < F.col("_off") + F.col("_cnt"))))
-    out = rows.join(hit.select("_g", "_pid", "_off", "_first"), ["_g", "_pid"])
+    pids = sorted({r["_pid"] for r in hit.select("_pid").distinct().collect()})
+    out = rows.where(F.col("_pid").isin(pids)).join(
+        hit.select("_g", "_pid", "_off", "_first"), ["_g", "_pid"])
     out = out.withColumn("pos", F.col("_off") + F.col("_loc") - F.col("_first"))
     return out.where(F.array_contains(wanted, F.col("pos"))).drop(
         "_pid", "_loc", "_off", "_first", "_g")
@@ -118,7 +126,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     targets = totals.select(*by, "_n", F.array_distinct(F.array(*needed)).alias("_want"))
     hit = offsets.join(targets, by)
     hit = hit.where(F.exists("_want", lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_cnt"))))
-    picked = rows.join(hit.select(*by, "_pid", "_off", "_first", "_want"), by + ["_pid"])
+    # the partitions holding a wanted rank: at most the partition count, so a
+    # literal IN-list that the Parquet scan uses to skip every other file
+    pids = sorted({r["_pid"] for r in hit.select("_pid").distinct().collect()})
+    picked = rows.where(F.col("_pid").isin(pids)).join(
+        hit.select(*by, "_pid", "_off", "_first", "_want"), by + ["_pid"])
     picked = picked.withColumn("_r", F.col("_off") + F.col("_loc") - F.col("_first")).where(
         F.array_contains(F.col("_want"), F.col("_r")))
     # at most 2*len(probs) rows per group reach this aggregate

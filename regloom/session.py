@@ -68,6 +68,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet into a fresh folder under the shared checkpoint
+    folder and read it back: lineage cut like ``checkpoint()``, but columnar,
+    and later filters are pushed into the scan (row-group statistics)."""
+    import uuid
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/regloom-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
