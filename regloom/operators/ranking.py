@@ -116,7 +116,10 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     base = df.select(*([F.col(b) for b in by] if grouped else [F.lit(0).alias("_g")]),
                      v.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
-    rows, offsets = indexed(base, ["_v"], by, num_partitions)
+    # tie-breaker: a value shared by a third of the rows must not land in one
+    # range partition; equal values are interchangeable for a quantile
+    base = base.withColumn("_tb", F.monotonically_increasing_id())
+    rows, offsets = indexed(base, ["_v", "_tb"], by, num_partitions)
     totals = offsets.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
     # needed ranks per group: floor/ceil of (n-1)*p for every p
     needed = []

@@ -45,3 +45,20 @@ def test_rows_at(skewed):
     pdf, df = skewed
     got = rows_at(df, ["k"], [0, 17, 2999]).toPandas().sort_values("pos")
     assert list(got.k) == [0, 17, 2999]
+
+
+def test_hot_value_is_spread_over_partitions(spark):
+    """A third of the rows share one value: the range partitions stay balanced
+    and the quantiles stay exact."""
+    from pyspark.sql import functions as F
+    from regloom.operators.ranking import indexed
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(5.0))
+                               .otherwise(F.col("id").cast("double")).alias("v"))
+    vals = np.array([5.0 if i % 3 == 0 else float(i) for i in range(n)])
+    (r,) = exact_quantiles(df, "v", [0.1, 0.5], names=["a", "b"], num_partitions=8).collect()
+    assert (r.a, r.b) == tuple(np.percentile(vals, [10, 50]))
+    rows, _ = indexed(df.withColumn("_g", F.lit(0)).withColumn("_tb", F.monotonically_increasing_id()),
+                      ["v", "_tb"], ["_g"], 8)
+    sizes = [c["count"] for c in rows.groupBy("_pid").count().collect()]
+    assert max(sizes) < n / 3
