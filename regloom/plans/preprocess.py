@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import clean as C
 from ..operators import encode as N
 from ..operators import missing as D
+from ..session import cut_lineage
 from ..sources import io
 from ..sources.catalog import DatasetSpec
 
@@ -33,7 +34,9 @@ def prepare(df: DataFrame, target: str, drop: tuple[str, ...] = (), cleaner=None
         df = cleaner(df)
     df = D.dedupe(df)
     if persist:
-        df = df.persist()
+        # read by the profile, the fill statistics, the level scan and min/max:
+        # pin it once in the shared checkpoint folder (no cache left behind)
+        df = cut_lineage(df)
     df, plan = D.handle_missing(df, protect=(target,) if protect_target else ())
     log["missing"] = plan.report
     C.require_target(df, target)
