@@ -248,7 +248,7 @@ def q_mlp_fit(spark, sf):
 @register("h9_single_run_metrics")
 def q_single_run(spark, sf):
     train, test, feats, label = _train_test(spark, sf)
-    met, _ = search.single_run("RBF Network", {"n_centers": 15, "sigma": 1.0, "sigma_mode": "fixed",
+    met, _ = search.single_run("RBF Network", {"n_centers": 15, "sigma": 4.0, "sigma_mode": "fixed",
                                                "alpha": 1e-3}, train, test, feats, label, 0,
                                {"n_init": 1})
     return met
