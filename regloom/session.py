@@ -84,7 +84,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def partitions_for(df: DataFrame) -> int:
-    """Target partition count for a range/ hash repartition of ``df``:
-    the session's shuffle partition setting (sized for the cluster)."""
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
+    """Partition count for an explicit range repartition of ``df``: the
+    optimizer's size estimate at ``target_bytes`` per partition, at least the
+    default parallelism and at most the session's shuffle partition setting
+    (sized for the cluster). No job runs; with no estimate the setting is used."""
+    cap = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  no estimate: use the configured width
+        return cap
+    floor = max(1, df.sparkSession.sparkContext.defaultParallelism)  # keep every core busy
+    return max(1, min(cap, max(floor, -(-size // target_bytes))))
