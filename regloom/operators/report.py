@@ -30,18 +30,23 @@ def long_runs(runs: DataFrame, ids: Sequence[str], metrics: Sequence[str] | None
 
 
 def aggregate_runs(runs: DataFrame, by: Sequence[str] = ("model",),
-                   metrics: Sequence[str] | None = None) -> DataFrame:
+                   metrics: Sequence[str] | None = None, runs_bounded: bool = True) -> DataFrame:
     """Per group and metric: mean, population std, exact median, min, max
     over the runs, missing values skipped (a metric whose runs are all missing
-    keeps its row with NULL statistics)."""
+    keeps its row with NULL statistics).
+
+    A run table holds at most ``n_runs`` rows per (model, metric) - a study
+    parameter, not a data size - so by default the median is Spark's exact
+    ``percentile`` inside the same aggregate. ``runs_bounded=False`` uses the
+    distributed positional quantile for tables whose groups grow with data."""
     keys = list(by) + ["metric"]
     lg = long_runs(runs, list(by), metrics)
-    stats = lg.groupBy(*keys).agg(
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    aggs = [F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+            F.min("value").alias("min"), F.max("value").alias("max")]
+    if runs_bounded:
+        stats = lg.groupBy(*keys).agg(*aggs, F.percentile("value", 0.5).alias("median"))
+        return stats.select(*keys, "mean", "std", "median", "min", "max")
+    stats = lg.groupBy(*keys).agg(*aggs)
     med = exact_quantiles(lg, "value", [0.5], by=keys, names=["median"])
     return stats.join(med, keys, "left").select(*keys, "mean", "std", "median", "min", "max")
 
@@ -72,12 +77,18 @@ def bar_stats(runs: DataFrame, metric: str, by: Sequence[str] = ("model",)) -> D
 
 
 def box_stats(runs: DataFrame, metric: str, by: Sequence[str] = ("model",),
-              whis: float = 1.5) -> DataFrame:
+              whis: float = 1.5, runs_bounded: bool = True) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside ``whis``·IQR
-    fences) and outlier count per model, as a box plot draws them."""
+    fences) and outlier count per model, as a box plot draws them. Quartiles
+    as in ``aggregate_runs`` (bounded run groups: exact ``percentile``)."""
     keys = list(by)
     v = runs.select(*keys, _nan_to_null(metric).alias("_v")).where(F.col("_v").isNotNull())
-    q = exact_quantiles(v, "_v", [0.25, 0.5, 0.75], by=keys, names=["q1", "median", "q3"])
+    if runs_bounded:
+        q = v.groupBy(*keys).agg(F.percentile("_v", [0.25, 0.5, 0.75]).alias("_q")).select(
+            *keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+            F.col("_q")[2].alias("q3"))
+    else:
+        q = exact_quantiles(v, "_v", [0.25, 0.5, 0.75], by=keys, names=["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
     lo_f = F.col("q1") - F.lit(whis) * iqr
     hi_f = F.col("q3") + F.lit(whis) * iqr

@@ -58,6 +58,8 @@ def test_grouped_metrics_and_run_aggregation(spark):
         assert got.loc[(m, r), "RMSE"] == pytest.approx(exp["RMSE"])
         assert got.loc[(m, r), "MedAE"] == pytest.approx(exp["MedAE"])
     agg = aggregate_runs(runs).toPandas().set_index(["model", "metric"])
+    dist = aggregate_runs(runs, runs_bounded=False).toPandas().set_index(["model", "metric"])
+    assert np.allclose(agg.loc[dist.index, "median"], dist["median"], equal_nan=True)
     for m, part in got.reset_index().groupby("model"):
         v = part["MAE"].to_numpy()
         row = agg.loc[(m, "MAE")]
