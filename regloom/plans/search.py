@@ -228,6 +228,9 @@ def repeated_runs(spark: SparkSession, model: str, params: dict, train: DataFram
         try:
             met, _ = single_run(model, params, train, test, features, label, seed, overrides)
             r = met.first()
+            # a diverged fit (non-finite predictions) fails scoring and the run is skipped
+            if r is None or r["RMSE"] is None or not math.isfinite(r["RMSE"]):
+                return None
             return (model, seed, *[r[m] for m in M.METRICS])
         except Exception:  # noqa: BLE001
             return None
