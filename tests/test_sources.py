@@ -25,3 +25,15 @@ def test_upsert_replaces_only_new_models(spark, tmp_path):
     new = spark.createDataFrame([("b", 0, 9.0), ("c", 0, 3.0)], "model string, run int, MSE double")
     merged = {r.model: r.MSE for r in io.upsert_runs(spark, new, path).collect()}
     assert merged == {"a": 1.0, "b": 9.0, "c": 3.0}
+
+
+def test_params_sink_and_results_scan(spark, tmp_path):
+    params = {"n_centers": 20, "sigma_mode": "per_center", "alpha": 0.001}
+    io.write_params(spark, params, str(tmp_path / "best_params_rbf"))
+    back = {r.key: r.value for r in spark.read.parquet(str(tmp_path / "best_params_rbf")).collect()}
+    assert back == {k: str(v) for k, v in params.items()}
+    runs = spark.createDataFrame([("a", 0, 1.0)], "model string, run int, MSE double")
+    runs.write.parquet(str(tmp_path / "res" / "dataset_2" / "all_results"))
+    got = io.read_results(spark, str(tmp_path / "res")).collect()
+    assert [(r.dataset, r.model) for r in got] == [(2, "a")]
+    assert io.read_results(spark, str(tmp_path / "nothing")) is None
