@@ -38,8 +38,9 @@ def regression_metrics(df: DataFrame, label: str = "y", prediction: str = "p",
     expensive prediction (a model transform) is evaluated once for the
     several passes instead of once per pass."""
     grouped = bool(by)
-    keys = list(by) if grouped else ["_g"]
-    base = df.select(*([F.col(b) for b in by] if grouped else [F.lit(0).alias("_g")]),
+    # one struct key keeps groups whose key fields are NULL through the joins
+    keys = ["_grp"] if grouped else ["_g"]
+    base = df.select((F.struct(*[F.col(b) for b in by]) if grouped else F.lit(0)).alias(keys[0]),
                      F.col(label).cast("double").alias("_y"),
                      F.col(prediction).cast("double").alias("_p"))
     if materialize:
@@ -78,7 +79,9 @@ def regression_metrics(df: DataFrame, label: str = "y", prediction: str = "p",
         _finite_ratio_score(F.col("_ve"), F.col("_vy")).alias("EVS"),
         F.col("RMSLE"),
     )
-    return out if grouped else out.drop("_g")
+    if not grouped:
+        return out.drop("_g")
+    return out.select(*[F.col(f"_grp.`{b}`").alias(b) for b in by], *METRICS)
 
 
 def rmse(df: DataFrame, label: str = "y", prediction: str = "p") -> float | None:

@@ -112,8 +112,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     names = list(names) if names else [f"q_{str(p).replace('.', '_')}" for p in probs]
     v = F.col(value) if isinstance(value, str) else value
     grouped = bool(by)
-    by = list(by) if grouped else ["_g"]  # constant key instead of a cross join
-    base = df.select(*([F.col(b) for b in by] if grouped else [F.lit(0).alias("_g")]),
+    out_keys = list(by)
+    # one struct key: joins on it keep groups whose key fields are NULL;
+    # a constant key replaces a cross join when there are no groups
+    by = ["_grp"] if grouped else ["_g"]
+    base = df.select((F.struct(*[F.col(b) for b in out_keys]) if grouped else F.lit(0)).alias(by[0]),
                      v.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     # tie-breaker: a value shared by a third of the rows must not land in one
@@ -146,7 +149,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         lo = F.element_at("_m", F.floor(h))
         hi = F.element_at("_m", F.ceil(h))
         cols.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return out.select(*(by if grouped else []), *cols)
+    return out.select(*([F.col(f"_grp.`{b}`").alias(b) for b in out_keys] if grouped else []), *cols)
 
 
 def exact_quantiles_dict(df: DataFrame, value: str, probs: Sequence[float]) -> list[float | None]:

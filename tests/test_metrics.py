@@ -83,3 +83,10 @@ def test_box_histogram_convergence(spark):
     tr = spark.createDataFrame([(0, 5.0), (1, None), (2, 7.0), (3, 4.0)], "trial int, value double")
     c = convergence(tr).orderBy("trial").toPandas()
     assert list(c.best_so_far) == [5.0, 5.0, 5.0, 4.0]
+
+
+def test_null_model_key_kept(spark):
+    df = spark.createDataFrame([(None, 1.0, 2.0), (None, 3.0, 3.0), ("a", 1.0, 1.0)],
+                               "model string, y double, p double")
+    got = {r.model: r.MAE for r in regression_metrics(df, by=["model"]).collect()}
+    assert got == {None: 0.5, "a": 0.0}

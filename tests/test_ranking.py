@@ -62,3 +62,9 @@ def test_hot_value_is_spread_over_partitions(spark):
                       ["v", "_tb"], ["_g"], 8)
     sizes = [c["count"] for c in rows.groupBy("_pid").count().collect()]
     assert max(sizes) < n / 3
+
+
+def test_null_group_key_is_kept(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
+    got = {r.g: r.m for r in exact_quantiles(df, "v", [0.5], by=["g"], names=["m"]).collect()}
+    assert got == {None: 2.0, "a": 5.0}
