@@ -126,5 +126,10 @@ def quality_table(df: DataFrame) -> DataFrame:
 
 
 def keep_good(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` that the rules keep, with their own columns only."""
-    return judged(df).where("kept").select("_row.*")
+    """The rows of ``df`` that the rules keep, with their own columns only.
+
+    The partition number stands beside the verdict because a filter is not
+    pushed below a projection that is not deterministic; pushed down, it would
+    carry a copy of every measure's expression at every level."""
+    return (judged(df).withColumn("_part", F.spark_partition_id())
+            .where("kept AND _part >= 0").select("_row.*"))
