@@ -1,7 +1,7 @@
 """Column drops and per-dataset cleaning.
 
 Every function is ``DataFrame -> DataFrame`` and lazy; each transformation is
-guarded by "column present", as in the reference, so one cleaner accepts any
+guarded by "column present", so one cleaner accepts any
 variant of its raw table."""
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def clean_obesity(df: DataFrame) -> DataFrame:
 
 
 def clean_used_car(df: DataFrame, base_year: int = 2026) -> DataFrame:
-    """Used-car table, C2 and C6-C15 in the reference's order, as one
+    """Used-car table, C2 and C6-C15 in this order, as one
     projection. Derived columns are appended in the order they are created;
     ``model``, ``accident``, ``engine``, ``transmission`` and ``model_year``
     are consumed."""

@@ -1,6 +1,6 @@
 """Run aggregation and report tables (R1-R8, H8, E5 histogram).
 
-These are the tables behind the reference's figures; no image is drawn."""
+These are the tables behind the study's figures; no image is drawn."""
 
 from __future__ import annotations
 

@@ -34,8 +34,8 @@ N_FOLDS = 5
 TEST_SIZE = 0.2
 N_TRIALS = 15
 RANDOM_STATE = 42
-SEARCH_ROW_CAP = 50_000          # rows used by the search when the training part is larger
-BIG_TRAIN = 100_000              # more training rows -> 3 folds
+#: Failures of the arithmetic of a fit; everything else (analysis errors, lost jobs) propagates.
+NUMERICAL = (np.linalg.LinAlgError, ArithmeticError)
 MODELS = ["MLP", "RBF Network", "ANFIS", "FNN-FCM"]
 # named workload profiles: (dataset indices, model indices) per machine
 PROFILES = {
@@ -71,11 +71,12 @@ class Draw:
         return options[self.rng.randint(0, len(options))]
 
 
-def space_mlp(d: Draw, n_rows: int) -> dict:
-    """H1."""
+def space_mlp(d: Draw, large_batch: bool = False) -> dict:
+    """H1. ``large_batch`` is the caller's choice of the narrower space for
+    tables that first-order solvers should pass over in large batches."""
     layers = tuple(d.int(16, 256, log=True) for _ in range(d.int(1, 3)))
     activation = d.choice(["relu", "tanh", "logistic"])
-    if n_rows > 20_000:
+    if large_batch:
         solver = d.choice(["adam", "sgd"])
         batch = d.choice([256, 512, 1024, 2048])
         max_iter = d.int(100, 300, step=50)
@@ -89,7 +90,7 @@ def space_mlp(d: Draw, n_rows: int) -> dict:
             "learning_rate_init": lr, "max_iter": max_iter, "batch_size": batch, "alpha": alpha}
 
 
-def space_rbf(d: Draw, n_rows: int) -> dict:
+def space_rbf(d: Draw, large_batch: bool = False) -> dict:
     """H2."""
     n_centers = d.int(10, 200, log=True)
     mode = d.choice(["fixed", "per_center"])
@@ -98,14 +99,14 @@ def space_rbf(d: Draw, n_rows: int) -> dict:
             "alpha": d.float(1e-5, 1e1, log=True)}
 
 
-def space_anfis(d: Draw, n_rows: int) -> dict:
+def space_anfis(d: Draw, large_batch: bool = False) -> dict:
     """H3."""
     return {"n_mfs": d.int(2, 5), "mf_type": d.choice(["gaussian", "bell", "triangular"]),
             "learning_rate": d.float(1e-4, 1e-1, log=True), "n_epochs": d.int(50, 300, step=50),
             "lambda_reg": d.float(1e-6, 1e-1, log=True)}
 
 
-def space_fcm(d: Draw, n_rows: int) -> dict:
+def space_fcm(d: Draw, large_batch: bool = False) -> dict:
     """H4."""
     return {"n_clusters": d.int(2, 10), "fuzziness": d.float(1.5, 3.0),
             "mf_type": d.choice(["gaussian", "bell"]), "learning_rate": d.float(1e-4, 1e-1, log=True),
@@ -116,8 +117,8 @@ SPACES: dict[str, Callable[[Draw, int], dict]] = {
     "MLP": space_mlp, "RBF Network": space_rbf, "ANFIS": space_anfis, "FNN-FCM": space_fcm}
 
 
-def candidates(model: str, n_trials: int, n_rows: int, seed: int = RANDOM_STATE) -> list[dict]:
-    return [SPACES[model](Draw(seed, model, t), n_rows) for t in range(n_trials)]
+def candidates(model: str, n_trials: int, large_batch: bool = False, seed: int = RANDOM_STATE) -> list[dict]:
+    return [SPACES[model](Draw(seed, model, t), large_batch) for t in range(n_trials)]
 
 
 def make_regressor(model: str, params: dict, seed: int | None,
@@ -145,7 +146,7 @@ def make_regressor(model: str, params: dict, seed: int | None,
 @dataclass
 class Study:
     model: str
-    trials: DataFrame          # trial, fold, rmse
+    trials: DataFrame          # trial, fold, rmse, error
     scores: DataFrame          # trial, value, params
     best_params: dict
     best_value: float
@@ -153,41 +154,45 @@ class Study:
 
 
 def fold_rmse(model: str, params: dict, table: DataFrame, features: Sequence[str],
-              label: str, fold: int, seed: int | None, overrides: dict | None) -> float:
-    """One CV cell: fit on ``fold != f``, RMSE on ``fold == f``; failure or a
-    non-finite value -> +inf."""
+              label: str, fold: int, seed: int | None, overrides: dict | None) -> tuple[float, str | None]:
+    """One CV cell: fit on ``fold != f``, RMSE on ``fold == f``. A numerical
+    failure or a non-finite value scores +inf and names its cause; any other
+    error is the caller's."""
     try:
         fitted = make_regressor(model, params, seed, overrides).fit(
             table.where(F.col("fold") != fold), features, label)
         pred = fitted.transform(table.where(F.col("fold") == fold), "_pred")
         v = M.rmse(pred, label, "_pred")
-        return float(v) if v is not None and math.isfinite(v) else math.inf
-    except Exception:  # noqa: BLE001  any failing fit scores +inf
-        return math.inf
+    except NUMERICAL as e:
+        return math.inf, f"{type(e).__name__}: {e}"
+    if v is None or not math.isfinite(v):
+        return math.inf, "score is not finite"
+    return float(v), None
 
 
 def cross_validate(spark: SparkSession, train: DataFrame, features: Sequence[str], label: str,
                    key: Sequence[str], model: str, n_trials: int = N_TRIALS, n_folds: int = N_FOLDS,
                    seed: int = RANDOM_STATE, parallelism: int = 4,
-                   overrides: dict | None = None, row_cap: int = SEARCH_ROW_CAP) -> Study:
-    """H5-H7: P3 cap, P4 fold rule (on the size before the cap), P2 folds,
-    candidates x folds fitted, value = mean of fold RMSEs, best = lowest value
-    (ties -> lowest trial)."""
-    n = train.count()
-    k = S.adaptive_folds(n, n_folds, BIG_TRAIN)
-    sub = S.exact_subset(train, key, row_cap, seed, n=n)
-    n_sub = min(n, row_cap)
+                   overrides: dict | None = None, row_cap: int | None = None,
+                   large_batch: bool = False) -> Study:
+    """H5-H7: P2 folds over all training rows, candidates x folds fitted,
+    value = mean of fold RMSEs, best = lowest value (ties -> lowest trial).
+    ``row_cap`` (P3 subset) applies only when the caller gives one; P4's fold
+    rule is ``split.adaptive_folds``, for the caller to apply."""
+    n, k = train.count(), n_folds
+    sub = train if row_cap is None else S.exact_subset(train, key, row_cap, seed, n=n)
+    n_sub = n if row_cap is None else min(n, row_cap)
     table = S.kfold(sub, key, k, f"kfold:{seed}", n=n_sub).persist(StorageLevel.MEMORY_AND_DISK)
-    cands = candidates(model, n_trials, n, seed)
+    cands = candidates(model, n_trials, large_batch, seed)
     cells = [(t, f) for t in range(len(cands)) for f in range(k)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         res = list(pool.map(lambda c: fold_rmse(model, cands[c[0]], table, features, label, c[1],
                                                 seed, overrides), cells))
     table.unpersist()
-    rows = [(t, f, r) for (t, f), r in zip(cells, res)]
-    trials = spark.createDataFrame(rows, "trial int, fold int, rmse double")
+    rows = [(t, f, *r) for (t, f), r in zip(cells, res)]
+    trials = spark.createDataFrame(rows, "trial int, fold int, rmse double, error string")
     per_trial = {}
-    for t, f, r in rows:
+    for t, _, r, _ in rows:
         per_trial.setdefault(t, []).append(r)
     values = {t: (math.inf if any(math.isinf(v) for v in vs) else float(np.mean(vs)))
               for t, vs in per_trial.items()}
@@ -232,7 +237,7 @@ def repeated_runs(spark: SparkSession, model: str, params: dict, train: DataFram
             if r is None or r["RMSE"] is None or not math.isfinite(r["RMSE"]):
                 return None
             return (model, seed, *[r[m] for m in M.METRICS])
-        except Exception:  # noqa: BLE001
+        except NUMERICAL:
             return None
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -260,7 +265,7 @@ def experiment(spark: SparkSession, table: DataFrame, features: Sequence[str], l
             r = repeated_runs(spark, model, st.best_params, train, test, features, label, n_runs,
                               parallelism, ov)
             runs = r if runs is None else runs.unionByName(r)
-        except Exception:  # noqa: BLE001  a failing model does not stop the grid
+        except NUMERICAL:  # a model that diverges does not stop the grid
             continue
     train.unpersist()
     test.unpersist()

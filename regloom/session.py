@@ -54,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/DBFS)")
+            "spark.checkpoint.dir is not set; point it at a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="regloom-ckpt-"))
     return sc.getCheckpointDir()
 

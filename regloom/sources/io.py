@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,8 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 def infer_types(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """NA tokens -> NULL, then per column the narrowest of bigint ->
     double -> boolean -> string that fits *every* non-missing value (one
-    aggregate over the whole table)."""
+    aggregate over the whole table). Whole numbers beyond bigint are doubles;
+    true/false values with some missing stay text, a category of its own."""
     cols = df.columns
     na = F.array(*[F.lit(t) for t in na_tokens])
     clean = df.select(*[F.when(F.array_contains(na, F.col(f"`{c}`")), F.lit(None))
@@ -54,10 +56,10 @@ def infer_types(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFram
     for i, c in enumerate(cols):
         s = F.trim(F.col(f"`{c}`"))
         aggs += [F.count(s).alias(f"n{i}"),
-                 F.count(F.when(s.rlike(INT_SHAPE), 1)).alias(f"i{i}"),
-                 F.count(F.when(s.rlike(FLOAT_SHAPE), 1)).alias(f"f{i}"),
+                 F.count(F.when(s.rlike(INT_SHAPE) & s.try_cast("bigint").isNotNull(), 1)).alias(f"i{i}"),
+                 F.count(F.when(s.rlike(FLOAT_SHAPE) | s.rlike(INT_SHAPE), 1)).alias(f"f{i}"),
                  F.count(F.when(s.isin(BOOL_VALUES), 1)).alias(f"b{i}")]
-    r = clean.agg(*aggs).first() if cols else None
+    r = clean.agg(F.count(F.lit(1)).alias("rows"), *aggs).first() if cols else None
     sel = []
     for i, c in enumerate(cols):
         s = F.trim(F.col(f"`{c}`"))
@@ -66,7 +68,7 @@ def infer_types(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFram
             sel.append(s.try_cast("bigint").alias(c))
         elif n and r[f"f{i}"] == n:
             sel.append(s.try_cast("double").alias(c))
-        elif n and r[f"b{i}"] == n:
+        elif n and r[f"b{i}"] == n == r["rows"]:
             sel.append((F.lower(s) == "true").alias(c))
         elif not n:
             sel.append(F.lit(None).cast("double").alias(c))  # all missing: float column
@@ -114,21 +116,33 @@ def read_processed(spark: SparkSession, path: str, target: str) -> tuple[DataFra
 def upsert_runs(spark: SparkSession, new: DataFrame, path: str, key: str = "model",
                 ignore_corrupt: bool = False) -> DataFrame:
     """Rows of the models in ``new`` replace their old rows; other models'
-    rows stay. Written to a fresh folder and read back, because Spark cannot
-    overwrite a table it is reading. Returns the merged table (the new path is
-    in ``merged.inputFiles()``); callers keep the returned path."""
+    rows stay. The merged table is written beside ``path`` and then takes its
+    place by two renames, so ``path`` always names a whole table."""
     merged = new
     if path_exists(spark, path):
         try:
             old = spark.read.parquet(path)
             merged = old.join(new.select(key).distinct(), key, "left_anti").unionByName(
                 new, allowMissingColumns=True)
-        except Exception:  # noqa: BLE001
+        except AnalysisException:  # not a table
             if not ignore_corrupt:
                 raise
-    out = f"{path.rstrip('/')}.v{uuid.uuid4().hex[:8]}"
-    merged.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    fresh = f"{path.rstrip('/')}.v{uuid.uuid4().hex[:8]}"
+    merged.write.parquet(fresh)
+    _swap(spark, fresh, path)
+    return spark.read.parquet(path)
+
+
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path`` and drop what was there."""
+    to = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = to(fresh + ".old")
+    replaced = fs.exists(to(path)) and fs.rename(to(path), old)
+    if not fs.rename(to(fresh), to(path)):
+        raise OSError(f"cannot move {fresh} to {path}")
+    if replaced:
+        fs.delete(old, True)
 
 
 def write_params(spark: SparkSession, params: dict, path: str) -> DataFrame:

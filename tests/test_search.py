@@ -7,21 +7,21 @@ from regloom.plans import search
 
 def test_candidate_spaces_respect_ranges_and_conditions():
     for t in range(40):
-        big = search.space_mlp(search.Draw(42, "MLP", t), 50_000)
-        small = search.space_mlp(search.Draw(42, "MLP", t), 1_000)
+        big = search.space_mlp(search.Draw(42, "MLP", t), large_batch=True)
+        small = search.space_mlp(search.Draw(42, "MLP", t))
         assert big["solver"] in ("adam", "sgd") and big["batch_size"] in (256, 512, 1024, 2048)
         assert 100 <= big["max_iter"] <= 300 and big["max_iter"] % 50 == 0
         assert all(16 <= h <= 256 for h in small["hidden_layer_sizes"]) and 1 <= len(small["hidden_layer_sizes"]) <= 3
         if small["solver"] == "lbfgs":
             assert small["batch_size"] == "auto" and small["learning_rate_init"] == 0.001
-        r = search.space_rbf(search.Draw(42, "RBF Network", t), 0)
+        r = search.space_rbf(search.Draw(42, "RBF Network", t))
         assert 10 <= r["n_centers"] <= 200 and 1e-5 <= r["alpha"] <= 10
         assert r["sigma"] == 1.0 if r["sigma_mode"] == "per_center" else 0.1 <= r["sigma"] <= 10
-        a = search.space_anfis(search.Draw(42, "ANFIS", t), 0)
+        a = search.space_anfis(search.Draw(42, "ANFIS", t))
         assert 2 <= a["n_mfs"] <= 5 and a["n_epochs"] in range(50, 301, 50)
-        f = search.space_fcm(search.Draw(42, "FNN-FCM", t), 0)
+        f = search.space_fcm(search.Draw(42, "FNN-FCM", t))
         assert 2 <= f["n_clusters"] <= 10 and 1.5 <= f["fuzziness"] <= 3.0
-    assert search.candidates("ANFIS", 5, 100) == search.candidates("ANFIS", 5, 100)  # reproducible
+    assert search.candidates("ANFIS", 5) == search.candidates("ANFIS", 5)  # reproducible
 
 
 def test_best_trial_ties_and_profiles(spark):
@@ -41,3 +41,16 @@ def test_diverged_runs_are_skipped(spark):
     bad = dict(ok, learning_rate=50.0, n_epochs=300)
     assert search.repeated_runs(spark, "FNN-FCM", ok, tr, te, ["a", "b"], "y", n_runs=2).count() == 2
     assert search.repeated_runs(spark, "FNN-FCM", bad, tr, te, ["a", "b"], "y", n_runs=2).count() == 0
+
+
+def test_search_uses_every_training_row(spark, monkeypatch):
+    seen = []
+
+    def score(model, params, table, features, label, fold, seed, overrides):
+        seen.append(table.count())
+        return (math.inf, "score is not finite") if fold else (1.0, None)
+    monkeypatch.setattr(search, "fold_rmse", score)
+    df = spark.range(110_000).select("id", F.col("id").cast("double").alias("a"), F.lit(1.0).alias("y"))
+    study = search.cross_validate(spark, df, ["a"], "y", ["id"], "RBF Network", n_trials=1)
+    assert set(seen) == {110_000} and study.n_folds == 5
+    assert study.trials.where("error is not null").count() == 4

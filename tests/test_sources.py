@@ -37,3 +37,23 @@ def test_params_sink_and_results_scan(spark, tmp_path):
     got = io.read_results(spark, str(tmp_path / "res")).collect()
     assert [(r.dataset, r.model) for r in got] == [(2, "a")]
     assert io.read_results(spark, str(tmp_path / "nothing")) is None
+
+
+def test_two_upserts_keep_both_models(spark, tmp_path):
+    from regloom.sources import io
+
+    path = str(tmp_path / "runs")
+    io.upsert_runs(spark, spark.createDataFrame([("A", 1.0), ("B", 2.0)], "model string, RMSE double"), path)
+    io.upsert_runs(spark, spark.createDataFrame([("B", 3.0)], "model string, RMSE double"), path)
+    io.upsert_runs(spark, spark.createDataFrame([("C", 4.0)], "model string, RMSE double"), path)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("A", 1.0), ("B", 3.0), ("C", 4.0)]
+
+
+def test_wide_integers_and_gappy_booleans(spark):
+    from regloom.sources import io
+
+    df = spark.createDataFrame([("12345678901234567890", "true", "True"), ("1", None, "false")],
+                               "a string, b string, c string")
+    out = io.infer_types(df)
+    assert dict(out.dtypes) == {"a": "double", "b": "string", "c": "boolean"}
+    assert out.where("a is null").count() == 0
