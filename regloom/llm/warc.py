@@ -103,37 +103,40 @@ def _write(folder: str, limit: int):
 def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(kind, record_id, url, payload, size, sha1, refers_to), a row per page.
 
-    Who is response and who revisits is settled on ids, digests and sizes
-    alone; payloads move once, and only responses keep theirs."""
+    The response of each payload is an aggregate over size and digest that
+    carries the payload: copies meet on the map side, so each distinct payload
+    moves once however often it occurs. Who revisits is settled on ids,
+    digests and sizes alone."""
     body = F.coalesce(F.col("html"), F.lit(""))
-    full = pages.select(F.col("page_id").cast("string").alias("page"), "page_id", "url", body.alias("payload"),
+    full = pages.select("page_id", "url", body.alias("payload"),
                         F.octet_length(body).cast("long").alias("size"),
                         F.sha1(body.cast("binary")).alias("sha1"))
-    thin = materialize(full.drop("payload").groupBy("page_id", "page", "url", "size", "sha1")
+    thin = materialize(full.groupBy("page_id", "url", "size", "sha1")
                        .agg(F.count(F.lit(1)).alias("n")), "warc-plan")
-    name = F.concat(F.lit("urn:page:"), F.coalesce("page", F.lit("null")))
-    best = (thin.where(F.col("size") >= least_bytes).groupBy("size", "sha1")
-            .agg(F.max(F.struct("page_id", "url")).alias("best")))
-    known = thin.join(best, ["size", "sha1"], "left")
-    is_best = (F.col("best").isNotNull() & F.col("page_id").eqNullSafe(F.col("best.page_id"))
-               & F.col("url").eqNullSafe(F.col("best.url")))
-    again = known.where("best is not null").withColumn("n", F.col("n") - is_best.cast("int")).where("n > 0")
-    revisits = again.select("page", "url", "size", "sha1", "best", F.explode(
-        F.sequence(F.lit(1).cast("long"), "n")).alias("copy")).select(
+    shared = F.col("size") >= least_bytes
+
+    def name(page: str):
+        return F.concat(F.lit("urn:page:"), F.coalesce(F.col(page).cast("string"), F.lit("null")))
+
+    best = thin.where(shared).groupBy("size", "sha1").agg(F.max(F.struct("page_id", "url")).alias("best"))
+    is_best = F.col("page_id").eqNullSafe(F.col("best.page_id")) & F.col("url").eqNullSafe(F.col("best.url"))
+    again = thin.join(best, ["size", "sha1"]).withColumn("n", F.col("n") - is_best.cast("int")).where("n > 0")
+    revisits = again.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(
         F.lit("revisit").alias("kind"),
-        F.concat(F.coalesce(F.concat(F.lit("urn:page:"), "page"), F.lit("urn:page:null")),
-                 F.lit(":"), "copy").alias("record_id"),
+        F.concat(name("page_id"), F.lit(":"), "copy").alias("record_id"),
         "url", F.lit(None).cast("string").alias("payload"), "size", "sha1",
-        F.concat(F.lit("urn:page:"), F.coalesce(F.col("best.page_id").cast("string"), F.lit("null"))).alias("refers_to"))
-    once = (full.join(best, ["size", "sha1"]).where(is_best).dropDuplicates(["size", "sha1"])
-            .select(F.lit("response").alias("kind"), name.alias("record_id"), "url", "payload", "size", "sha1",
-                    F.lit(None).cast("string").alias("refers_to")))
-    plans = once.unionByName(revisits)
+        name("best.page_id").alias("refers_to"))
+
+    def responses(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit("response").alias("kind"), name("page_id").alias("record_id"), "url", "payload",
+                           "size", "sha1", F.lit(None).cast("string").alias("refers_to"))
+
+    once = (full.where(shared).groupBy("size", "sha1")
+            .agg(F.max(F.struct("page_id", "url", "payload")).alias("best"))
+            .select("best.*", "size", "sha1"))
+    plans = responses(once).unionByName(revisits)
     if least_bytes > 0:
-        small = full.where(F.col("size") < least_bytes).select(
-            F.lit("response").alias("kind"), name.alias("record_id"), "url", "payload", "size", "sha1",
-            F.lit(None).cast("string").alias("refers_to"))
-        plans = plans.unionByName(small)
+        plans = plans.unionByName(responses(full.where(~shared)))
     return plans
 
 
