@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, small_side
 from .ranking import exact_quantiles
 
 # fixed metric names and order of the run tables
@@ -45,14 +45,18 @@ def regression_metrics(df: DataFrame, label: str = "y", prediction: str = "p",
                      F.col(prediction).cast("double").alias("_p"))
     if materialize:
         base = cut_lineage(base)
-    mins = base.groupBy(*keys).agg(F.min(F.least("_y", "_p")).alias("_m"))
-    shift = F.when(F.col("_m") < 0, F.abs("_m") + 1).otherwise(F.lit(0.0))
+    least = F.min(F.least("_y", "_p"))
+    if grouped:
+        shift = F.when(least < 0, F.abs(least) + 1).otherwise(F.lit(0.0))
+        shifted = base.join(small_side(base.groupBy(*keys).agg(shift.alias("_shift"))), keys)
+    else:
+        low = base.agg(least).first()[0]
+        shifted = base.withColumn("_shift", F.lit(abs(low) + 1.0 if low is not None and low < 0 else 0.0))
     e = F.col("_y") - F.col("_p")
     ly = F.log1p(F.greatest(F.col("_y") + F.col("_shift"), F.lit(0.0)))
     lp = F.log1p(F.greatest(F.col("_p") + F.col("_shift"), F.lit(0.0)))
     agg = (
-        base.join(mins.withColumn("_shift", shift).select(*keys, "_shift"), keys)
-        .groupBy(*keys)
+        shifted.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.avg(e * e).alias("MSE"),

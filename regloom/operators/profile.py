@@ -74,10 +74,12 @@ def target_summary(df: DataFrame, target: str, coerce: bool = True) -> DataFrame
     return agg.join(med, "_g", "left").select("min", "max", "mean", "median", "std")
 
 
-def correlation_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def correlation_long(df: DataFrame, columns: Sequence[str] | None = None,
+                     only: str | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation of all numeric columns as a
-    long table ``(col_a, col_b, corr)`` covering the full matrix. A constant
-    column gives NULL (never an ANSI divide error).
+    long table ``(col_a, col_b, corr)`` covering the full matrix, or just the
+    row and column of ``only``. A constant column gives NULL (never an ANSI
+    divide error).
 
     Two passes of plain sums (cheap, code-generated aggregates): pass 1 the
     column means, min and max; pass 2 sums of products of mean-shifted values
@@ -95,22 +97,26 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     shift = {c: (p1[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
     complete = {c: p1[f"n{i}"] == rows for i, c in enumerate(cols)}
     constant = {c: p1[f"lo{i}"] is None or p1[f"lo{i}"] == p1[f"hi{i}"] for i, c in enumerate(cols)}
-    sh = {c: vals[c] - F.lit(float(shift[c])) for c in cols}
+    # a projection of its own, so that the many sums below refer to columns
+    shifted = df.select(*[(vals[c] - F.lit(float(shift[c]))).alias(f"v{i}") for i, c in enumerate(cols)])
+    sh = {c: F.col(f"v{i}") for i, c in enumerate(cols)}
     aggs, exprs = [], {}
     # shared per-column sums for pairs of complete columns
     for i, c in enumerate(cols):
-        aggs += [F.count(vals[c]).alias(f"c{i}"), F.sum(sh[c]).alias(f"s{i}"),
+        aggs += [F.count(sh[c]).alias(f"c{i}"), F.sum(sh[c]).alias(f"s{i}"),
                  F.sum(sh[c] * sh[c]).alias(f"q{i}")]
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
             b = cols[j]
+            if only is not None and only not in (a, b):
+                continue
             if complete[a] and complete[b]:
                 aggs.append(F.sum(sh[a] * sh[b]).alias(f"x{i}_{j}"))
                 n, sa, sb, qa, qb = (F.col(f"c{i}"), F.col(f"s{i}"), F.col(f"s{j}"),
                                      F.col(f"q{i}"), F.col(f"q{j}"))
             else:
-                ma = F.when(vals[b].isNotNull(), sh[a])
-                mb = F.when(vals[a].isNotNull(), sh[b])
+                ma = F.when(sh[b].isNotNull(), sh[a])
+                mb = F.when(sh[a].isNotNull(), sh[b])
                 aggs += [F.count(ma).alias(f"pn{i}_{j}"), F.sum(ma).alias(f"pa{i}_{j}"),
                          F.sum(mb).alias(f"pb{i}_{j}"), F.sum(ma * ma).alias(f"pqa{i}_{j}"),
                          F.sum(mb * mb).alias(f"pqb{i}_{j}"), F.sum(ma * mb).alias(f"x{i}_{j}")]
@@ -124,7 +130,7 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
                 r = F.lit(None).cast("double")
             # clamp rounding overshoot; greatest/least would turn NULL into a bound
             exprs[(i, j)] = F.when(r.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r)))
-    wide = df.agg(*aggs)
+    wide = shifted.agg(*aggs)
     entries = []
     for (i, j), e in exprs.items():
         entries.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
@@ -139,7 +145,7 @@ def top_correlated(df: DataFrame, target: str, k: int = 10,
                    columns: Sequence[str] | None = None) -> DataFrame:
     """The ``k`` features with the largest absolute correlation to the
     target (target itself excluded, undefined correlations last)."""
-    corr = correlation_long(df, columns)
+    corr = correlation_long(df, columns, only=target)
     return (corr.where((F.col("col_a") == target) & (F.col("col_b") != target))
             .select(F.col("col_b").alias("feature"), "corr")
             .orderBy(F.abs("corr").desc_nulls_last(), F.col("feature"))

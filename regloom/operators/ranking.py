@@ -27,11 +27,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, materialize, partitions_for
+from ..session import SMALL_ROWS, cut_lineage, materialize, partitions_for
 
 _LOW33 = (1 << 33) - 1
-# pin the numbered table as Parquet (prunable by partition id) or as an RDD checkpoint
-PIN_AS_PARQUET = True
+#: Accuracy of the sketch that brackets a wanted rank: a bracket spans about 4 / 10,000 of its group's rows.
+BRACKET_ACCURACY = 10_000
+#: Rows of a bracket up to which one sort ranks them; wider ones are ranked by position.
+WINDOW_ROWS = 200_000
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -57,7 +59,7 @@ def indexed(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = ()
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
         .drop("_mid")
     )
-    rows = materialize(rows, "ranked") if PIN_AS_PARQUET else cut_lineage(rows)
+    rows = materialize(rows, "ranked")
     stats = rows.groupBy(*by, "_pid").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(
@@ -119,10 +121,94 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     base = df.select((F.struct(*[F.col(b) for b in out_keys]) if grouped else F.lit(0)).alias(by[0]),
                      v.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
+    key = by[0]
+    out = _by_brackets(base, key, probs, num_partitions)
+    if out is None:
+        out = _by_index(base, key, probs, num_partitions)
+    keys = [F.col(f"_grp.`{b}`").alias(b) for b in out_keys] if grouped else []
+    return out.select(*keys, *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(names)])
+
+
+def _place(n: str, p: float) -> tuple[Column, Column, Column]:
+    """Fractional position of a quantile, and the ranks below and above it."""
+    h = (F.col(n) - 1) * F.lit(float(p))
+    return h, F.floor(h), F.ceil(h)
+
+
+def _by_brackets(base: DataFrame, key: str, probs: Sequence[float], parts: int | None) -> DataFrame | None:
+    """(key, _q): the quantiles of each group from narrow value brackets.
+
+    A sketch gives two values around each wanted rank; counting the rows below,
+    at and between them proves that they hold it. A rank at either value is
+    that value; otherwise only the rows strictly between are ranked. None when
+    there are too many groups to send out or a bracket misses its rank."""
+    half = 2.0 / BRACKET_ACCURACY
+    cuts = [F.lit(x) for p in probs for x in (max(0.0, p - half), min(1.0, p + half))]
+    sketch = materialize(base.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", F.array(*cuts), F.lit(BRACKET_ACCURACY)).alias("_c")), "brackets")
+    if sketch.count() > SMALL_ROWS:
+        return None
+    v, ks = F.col("_v"), range(len(probs))
+    low, high = [F.get("_c", F.lit(2 * k)) for k in ks], [F.get("_c", F.lit(2 * k + 1)) for k in ks]
+    counts = []
+    for k in ks:
+        counts += [F.count(F.when(v < low[k], 1)).alias(f"_below{k}"),
+                   F.count(F.when(v <= low[k], 1)).alias(f"_from{k}"),
+                   F.count(F.when((v <= low[k]) | (v < high[k]), 1)).alias(f"_to{k}"),
+                   F.count(F.when(v <= high[k], 1)).alias(f"_end{k}")]
+    placed = materialize(sketch.join(
+        base.join(F.broadcast(sketch), key).groupBy(key).agg(*counts), key), "brackets")
+
+    def inside(k, r):
+        return (r >= F.col(f"_from{k}")) & (r < F.col(f"_to{k}"))
+
+    held, open_ = [], []
+    for k, p in zip(ks, probs):
+        _, r0, r1 = _place("_n", p)
+        held.append((r0 >= F.col(f"_below{k}")) & (r1 < F.col(f"_end{k}")))
+        open_.append(inside(k, r0) | inside(k, r1))
+    widths = [F.when(o, F.col(f"_to{k}") - F.col(f"_from{k}")).otherwise(F.lit(0)) for k, o in zip(ks, open_)]
+    state = placed.agg(F.min(F.forall(F.array(*held), lambda x: x)).alias("held"),
+                       F.max(F.array_max(F.array(*widths))).alias("widest")).first()
+    if state["held"] is False:
+        return None
+    marks = F.array(*[F.struct(
+        F.lit(k).alias("k"), low[k].alias("low"), high[k].alias("high"), o.alias("open"),
+        (_place("_n", p)[1] - F.col(f"_from{k}")).alias("a"),
+        (_place("_n", p)[2] - F.col(f"_from{k}")).alias("b")) for k, p, o in zip(ks, probs, open_)])
+    rows = (base.join(F.broadcast(placed.select(key, marks.alias("_marks"))), key)
+            .select(key, "_v", F.explode(F.filter(
+                "_marks", lambda m: m["open"] & (v > m["low"]) & (v < m["high"]))).alias("_m"))
+            .select(key, "_v", F.col("_m.k").alias("_k"), "_m.a", "_m.b"))
+    if (state["widest"] or 0) <= WINDOW_ROWS:
+        ordered = Window.partitionBy(key, "_k").orderBy("_v")
+        ranked = rows.withColumn("_at", F.row_number().over(ordered) - 1)
+    else:
+        ranked = with_position(rows.withColumn("_tb", F.monotonically_increasing_id()),
+                               ["_v", "_tb"], [key, "_k"], "_at", parts)
+    found = ranked.groupBy(key).agg(*[
+        F.max(F.when((F.col("_k") == k) & (F.col("_at") == F.col(end)), v)).alias(f"_{end}{k}")
+        for k in ks for end in ("a", "b")])
+    out, cols = placed.join(found, key, "left"), []
+
+    def value(k, r, end):
+        return (F.when(r < F.col(f"_from{k}"), low[k]).when(r >= F.col(f"_to{k}"), high[k])
+                .otherwise(F.col(f"_{end}{k}")))
+    for k, p in zip(ks, probs):
+        h, r0, r1 = _place("_n", p)
+        first, last = value(k, r0, "a"), value(k, r1, "b")
+        cols.append(first + (last - first) * (h - r0))
+    return out.select(key, F.array(*cols).alias("_q"))
+
+
+def _by_index(base: DataFrame, key: str, probs: Sequence[float], parts: int | None) -> DataFrame:
+    """(key, _q): the quantiles of each group from the positions of all its rows."""
+    by = [key]
     # tie-breaker: a value shared by a third of the rows must not land in one
     # range partition; equal values are interchangeable for a quantile
     base = base.withColumn("_tb", F.monotonically_increasing_id())
-    rows, offsets = indexed(base, ["_v", "_tb"], by, num_partitions)
+    rows, offsets = indexed(base, ["_v", "_tb"], by, parts)
     totals = offsets.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
     # needed ranks per group: floor/ceil of (n-1)*p for every p
     needed = []
@@ -144,17 +230,8 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
     out = vals.join(totals, by)
     cols = []
-    for p, name in zip(probs, names):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        lo = F.element_at("_m", F.floor(h))
-        hi = F.element_at("_m", F.ceil(h))
-        cols.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return out.select(*([F.col(f"_grp.`{b}`").alias(b) for b in out_keys] if grouped else []), *cols)
-
-
-def exact_quantiles_dict(df: DataFrame, value: str, probs: Sequence[float]) -> list[float | None]:
-    """Global (ungrouped) exact quantiles returned to the driver as floats."""
-    row = exact_quantiles(df, value, probs, names=[f"q{i}" for i in range(len(probs))]).first()
-    if row is None:
-        return [None] * len(probs)
-    return [row[f"q{i}"] for i in range(len(probs))]
+    for p in probs:
+        h, r0, r1 = _place("_n", p)
+        lo, hi = F.element_at("_m", r0), F.element_at("_m", r1)
+        cols.append(lo + (hi - lo) * (h - r0))
+    return out.select(key, F.array(*cols).alias("_q"))

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_side
 from .metrics import METRICS
 from .ranking import exact_quantiles
 
@@ -118,6 +119,7 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 50,
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"),
     )
+    rng = small_side(rng)
     b = F.least(F.floor((F.col("_v") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))),
                 F.lit(bins - 1)).cast("int")
     counts = base.join(rng, keys).groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))

@@ -7,6 +7,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -80,6 +81,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Rows up to which a counted table of groups is sent to every task.
+SMALL_ROWS = 20_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` written once, and broadcast in joins when it was counted to hold
+    at most ``rows`` rows; a larger one is joined by shuffle."""
+    kept = materialize(df, "groups")
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -68,3 +68,19 @@ def test_null_group_key_is_kept(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     got = {r.g: r.m for r in exact_quantiles(df, "v", [0.5], by=["g"], names=["m"]).collect()}
     assert got == {None: 2.0, "a": 5.0}
+
+
+@pytest.mark.parametrize("force", ["index", "positions"])
+def test_quantile_paths_agree(skewed, monkeypatch, force):
+    """Brackets, ranks by position inside brackets, and the full index give the same."""
+    from regloom.operators import ranking
+    _, df = skewed
+    probs, names = [0.0, 0.3, 0.5, 0.99], ["a", "b", "c", "d"]
+    monkeypatch.setattr(ranking, "BRACKET_ACCURACY", 20)  # wide brackets: most rows are ranked inside them
+    want = exact_quantiles(df, "v", probs, by=["g"], names=names).toPandas().sort_values("g")
+    if force == "index":
+        monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
+    else:
+        monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
+    got = exact_quantiles(df, "v", probs, by=["g"], names=names).toPandas().sort_values("g")
+    assert np.allclose(got[names], want[names], rtol=1e-12)
