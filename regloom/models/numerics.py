@@ -70,37 +70,27 @@ def anfis_design(X: np.ndarray, mf_type: str, prm: dict, rules: np.ndarray) -> n
 
 
 def anfis_gradient_sums(X, y, prm, rules, theta) -> np.ndarray:
-    """Gaussian premise gradients summed over rows: array (2, d, m) holding
-    sum(chain * dmu/dc) and sum(chain * dmu/dsigma) per (feature, MF); the
-    driver divides by the row count (batch mean)."""
+    """Gaussian premise gradients summed over rows: array (2, d, m), one layer
+    for the centres and one for the widths; the driver divides by the row count.
+
+    With firing strengths ``w`` of sum ``S``, rule outputs ``f`` and prediction
+    ``p``, rule r pulls with ``(p - y) (f_r - p) w_r (S - w_r) / S^2`` on the
+    logarithm of each of its memberships. The rule x membership incidence
+    matrix adds up the pulls of the rules that share a membership; a Gaussian's
+    logarithm moves by ``(x - c) / s^2`` with its centre and ``(x - c)^2 / s^3``
+    with its width."""
     mu, w, wn = anfis_forward(X, "gaussian", prm, rules)
-    n, d = X.shape
-    m = mu.shape[2]
-    R = rules.shape[0]
-    th = theta.reshape(R, d + 1)
-    f = augmented(X) @ th.T                          # (n, R) rule outputs
-    y_pred = (wn * f).sum(axis=1)
-    err = y - y_pred
-    s = w.sum(axis=1, keepdims=True) + EPS
-    out = np.zeros((2, d, m))
-    c = np.asarray(prm["centers"])
-    sg = np.asarray(prm["sigmas"])
-    dwn_dw = (s - w) / (s ** 2 + EPS)                 # (n, R)
-    dE_dwn = -(err[:, None]) * (f - y_pred[:, None])  # (n, R)
-    base = dE_dwn * dwn_dw                            # (n, R)
-    for j in range(d):
-        for k in range(m):
-            rel = np.nonzero(rules[:, j] == k)[0]
-            if rel.size == 0:
-                continue
-            mujk = mu[:, j, k]
-            chain = (base[:, rel] * (w[:, rel] / (mujk[:, None] + EPS))).sum(axis=1)
-            diff = X[:, j] - c[j, k]
-            dmu_dc = mujk * diff / (sg[j, k] ** 2 + EPS)
-            dmu_ds = mujk * diff ** 2 / (sg[j, k] ** 3 + EPS)
-            out[0, j, k] = (chain * dmu_dc).sum()
-            out[1, j, k] = (chain * dmu_ds).sum()
-    return out
+    n, d, m = mu.shape
+    outputs = augmented(X) @ theta.reshape(len(rules), d + 1).T
+    p = np.einsum("nr,nr->n", wn, outputs)[:, None]
+    total = w.sum(axis=1, keepdims=True) + EPS
+    pull = (p - np.asarray(y)[:, None]) * (outputs - p) * w * (total - w) / (total ** 2 + EPS)
+    incidence = np.zeros((len(rules), d * m))
+    incidence[np.arange(len(rules))[:, None], np.arange(d) * m + rules] = 1.0
+    on_log = (pull @ incidence).reshape(n, d, m) * mu / (mu + EPS)
+    width, gap = np.asarray(prm["sigmas"]), X[:, :, None] - np.asarray(prm["centers"])
+    return np.stack([np.einsum("njk,njk->jk", on_log, gap) / (width ** 2 + EPS),
+                     np.einsum("njk,njk->jk", on_log, gap ** 2) / (width ** 3 + EPS)])
 
 
 def fcm_activations(X, centres, sigmas, mf_type):
