@@ -200,7 +200,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n_bands: int = BAND
         met = (open_.join(centres.toDF("key", "c", "c_comp"), "key")
                .where((F.col("cls") != F.col("c")) & (F.col("comp") != F.col("c_comp")))
                .select(F.greatest("cls", "c").alias("u"), F.least("cls", "c").alias("v")).distinct())
-        edges = components(edges.union(_linked(met, sets, percent)))
+        links = materialize(_linked(met, sets, percent), "links")
+        if not links.isEmpty():
+            edges = components(edges.union(links))
         members = open_.select("key", "cls")
         done = centres.select("key", "cls")
         count *= 2
