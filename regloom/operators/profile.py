@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -100,7 +101,7 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None,
     # a projection of its own, so that the many sums below refer to columns
     shifted = df.select(*[(vals[c] - F.lit(float(shift[c]))).alias(f"v{i}") for i, c in enumerate(cols)])
     sh = {c: F.col(f"v{i}") for i, c in enumerate(cols)}
-    aggs, exprs = [], {}
+    aggs, pairs = [], {}
     # shared per-column sums for pairs of complete columns
     for i, c in enumerate(cols):
         aggs += [F.count(sh[c]).alias(f"c{i}"), F.sum(sh[c]).alias(f"s{i}"),
@@ -112,33 +113,27 @@ def correlation_long(df: DataFrame, columns: Sequence[str] | None = None,
                 continue
             if complete[a] and complete[b]:
                 aggs.append(F.sum(sh[a] * sh[b]).alias(f"x{i}_{j}"))
-                n, sa, sb, qa, qb = (F.col(f"c{i}"), F.col(f"s{i}"), F.col(f"s{j}"),
-                                     F.col(f"q{i}"), F.col(f"q{j}"))
+                pairs[(i, j)] = (f"c{i}", f"s{i}", f"s{j}", f"q{i}", f"q{j}", f"x{i}_{j}")
             else:
                 ma = F.when(sh[b].isNotNull(), sh[a])
                 mb = F.when(sh[a].isNotNull(), sh[b])
-                aggs += [F.count(ma).alias(f"pn{i}_{j}"), F.sum(ma).alias(f"pa{i}_{j}"),
-                         F.sum(mb).alias(f"pb{i}_{j}"), F.sum(ma * ma).alias(f"pqa{i}_{j}"),
-                         F.sum(mb * mb).alias(f"pqb{i}_{j}"), F.sum(ma * mb).alias(f"x{i}_{j}")]
-                n, sa, sb, qa, qb = (F.col(f"pn{i}_{j}"), F.col(f"pa{i}_{j}"), F.col(f"pb{i}_{j}"),
-                                     F.col(f"pqa{i}_{j}"), F.col(f"pqb{i}_{j}"))
-            sxy = F.col(f"x{i}_{j}") - sa * sb / n
-            sxx = F.greatest(qa - sa * sa / n, F.lit(0.0))
-            syy = F.greatest(qb - sb * sb / n, F.lit(0.0))
-            r = F.try_divide(sxy, F.sqrt(sxx * syy))
-            if constant[a] or constant[b]:
-                r = F.lit(None).cast("double")
-            # clamp rounding overshoot; greatest/least would turn NULL into a bound
-            exprs[(i, j)] = F.when(r.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r)))
-    wide = shifted.agg(*aggs)
-    entries = []
-    for (i, j), e in exprs.items():
-        entries.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                                e.alias("corr")))
+                names = tuple(f"{part}{i}_{j}" for part in ("pn", "pa", "pb", "pqa", "pqb", "x"))
+                sums = (F.count(ma), F.sum(ma), F.sum(mb), F.sum(ma * ma), F.sum(mb * mb), F.sum(ma * mb))
+                aggs += [x.alias(name) for x, name in zip(sums, names)]
+                pairs[(i, j)] = names
+    # one row of sums, as wide as the matrix: its last arithmetic is done here
+    sums, entries = shifted.agg(*aggs).first(), []
+    for (i, j), names in pairs.items():
+        n, sa, sb, qa, qb, sxy = (sums[name] for name in names)
+        r = None
+        if n and not constant[cols[i]] and not constant[cols[j]]:
+            spread = max(qa - sa * sa / n, 0.0) * max(qb - sb * sb / n, 0.0)
+            if spread != 0:
+                r = min(1.0, max(-1.0, (sxy - sa * sb / n) / math.sqrt(spread)))
+        entries.append((cols[i], cols[j], r))
         if i != j:
-            entries.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                    e.alias("corr")))
-    return wide.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
+            entries.append((cols[j], cols[i], r))
+    return df.sparkSession.createDataFrame(entries, "col_a string, col_b string, corr double")
 
 
 def top_correlated(df: DataFrame, target: str, k: int = 10,
