@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.llm import linededup, mixing, neardup, pieces, quality
+from regloom.llm.common import n_words
 from regloom.session import ensure_checkpoint_dir, load
 
 
@@ -22,8 +23,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in at least ten documents go; every document stays."""
-    out = linededup.dedup_lines(docs)
+    """A line found in at least ten documents stays only in the first text that
+    holds it, and in that text's copies, which near_dedup removes. Documents go
+    that lose their last word: each of their lines stands in another one."""
+    out = linededup.keep_first(docs).where((F.col("_n_dropped") == 0) | (n_words() > 0))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

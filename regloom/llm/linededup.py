@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 #: Up to so many line hashes (8 bytes each) reach the tasks as one broadcast array; more are joined.
 BROADCAST_LINES = 2_000_000
@@ -39,8 +39,16 @@ def _hash(key: bytes) -> int:
     """Signed 64-bit hash; the empty key is 0 and no other key is."""
     if not key:
         return 0
-    h = xxhash.xxh3_64_intdigest(key)
-    return (h or 1) - (h >> 63 << 64)
+    return _signed(xxhash.xxh3_64_intdigest(key) or 1)
+
+
+def _signed(h: int) -> int:
+    return h - (h >> 63 << 64)
+
+
+def _own(hashes: np.ndarray) -> int:
+    """Hash of a text's line keys in order: copies share it, whatever their case and outer white space."""
+    return _signed(xxhash.xxh3_64_intdigest(hashes.tobytes()))
 
 
 def _hashes(texts) -> tuple[list[int], np.ndarray]:
@@ -125,9 +133,10 @@ class LineRuns:
 
 
 def _sorted_drop(column: str, drop) -> object:
-    """Clean a batch: its line hashes are matched against the sorted array ``drop()``."""
+    """Clean a batch: its line hashes are matched against the sorted array of
+    ``drop()``; lines stay in texts whose hash stands beside them (None: in none)."""
     def clean(stream):
-        gone = drop()
+        gone, owner = drop()
         for part in stream:
             texts = part.column(column).to_pylist()
             lengths, hashes = _hashes(texts)
@@ -135,10 +144,17 @@ def _sorted_drop(column: str, drop) -> object:
             hit = np.zeros(len(hashes), dtype=bool)
             inside = at < len(gone)
             hit[inside] = gone[at[inside]] == hashes[inside]
+            if owner is not None:
+                hit[hit] = owner[at[hit]] != np.repeat(_owns(lengths, hashes), lengths)[hit]
             yield _rewritten(part, column, texts, lengths, hit)
     return clean
 
 
+def _owns(lengths: list[int], hashes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(lengths, dtype=np.int64)
+    return np.array([_own(hashes[e - n:e]) for n, e in zip(lengths, ends)], dtype=np.int64)
+
+
 def _listed_drop(column: str):
     """Clean a batch whose rows carry the hashes to drop in ``_gone``."""
     def clean(stream):
@@ -170,20 +186,24 @@ def _rewritten(part, column, texts, lengths, hit):
 
 
 def _row_lines(stream):
-    """(row key, line hash) of each distinct line of each row."""
+    """(row key, hash of the row's text, line hash) of each distinct line of each row."""
     for part in stream:
-        ids, out = part.column("_id").to_pylist(), ([], [])
+        ids, out = part.column("_id").to_pylist(), ([], [], [])
         for i, text in zip(ids, part.column("text").to_pylist()):
-            own = {_hash(k) for k in line_keys(text)} - {0}
-            out[0].extend([i] * len(own))
-            out[1].extend(own)
+            _, hashes = _hashes([text])
+            lines = set(hashes.tolist()) - {0}
+            out[0].extend([i] * len(lines))
+            out[1].extend([_own(hashes)] * len(lines))
+            out[2].extend(lines)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64())], ["_id", "h"])
+            [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())],
+            ["_id", "own", "h"])
 
 
 def drop_lines(docs: DataFrame, frequent: DataFrame, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """``docs`` (with a string column ``text``) without the lines whose hash is
-    in ``frequent``, plus ``_n_lines`` and ``_n_dropped``.
+    in ``frequent``, plus ``_n_lines`` and ``_n_dropped``. Where ``frequent``
+    has a column ``owner``, a line stays in the texts with that hash.
 
     ``frequent`` is broadcast only when counted to hold at most
     ``broadcast_lines`` hashes. A larger one is semi-joined with the line
@@ -193,14 +213,19 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, broadcast_lines: int = BROA
     text = names[docs.columns.index("text")]
     plain = docs.toDF(*names)
     schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes) + ", _n_lines long, _n_dropped long"
+    owned = "owner" in frequent.columns
     if frequent.count() <= broadcast_lines:
-        gone = np.sort(frequent.toPandas()["h"].to_numpy(dtype=np.int64))
-        shared = spark.sparkContext.broadcast(gone)
+        rows = frequent.toPandas().sort_values("h")
+        gone = rows["h"].to_numpy(dtype=np.int64)
+        shared = spark.sparkContext.broadcast((gone, rows["owner"].to_numpy(dtype=np.int64) if owned else None))
         out = plain.mapInArrow(_sorted_drop(text, lambda: shared.value), schema)
     else:
         keyed = plain.withColumn("_id", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-        lines = keyed.select("_id", F.col(text).alias("text")).mapInArrow(_row_lines, "_id string, h long")
-        hits = (lines.join(frequent, "h", "left_semi").groupBy("_id")
+        lines = keyed.select("_id", F.col(text).alias("text")).mapInArrow(
+            _row_lines, "_id string, own long, h long")
+        met = (lines.join(frequent, "h").where("own != owner") if owned
+               else lines.join(frequent, "h", "left_semi"))
+        hits = (met.groupBy("_id")
                 .agg(F.collect_set("h").alias("_gone")))
         out = (keyed.join(hits, "_id", "left").drop("_id")
                .mapInArrow(_listed_drop(text), schema))
@@ -215,11 +240,64 @@ def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 8, fanout: int
     return drop_lines(docs, runs.frequent(least), broadcast_lines)
 
 
+def _first_holders(frequent):
+    """Per task: (line hash, least doc_id with the line, hash of that text), for
+    the lines in the sorted array ``frequent()`` (None: all lines)."""
+    def run(stream):
+        wanted = frequent()
+        held: dict[int, tuple] = {}
+
+        def out(kind):
+            firsts = held.values()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held.keys(), pa.int64()), pa.array([f[1] for f in firsts], kind),
+                 pa.array([f[2] for f in firsts], pa.int64())], ["h", "doc_id", "own"])
+        for part in stream:
+            kind = part.schema.field("doc_id").type
+            for i, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                _, hashes = _hashes([text])
+                lines = np.unique(hashes[hashes != 0])
+                if wanted is not None:
+                    at = np.searchsorted(wanted, lines)
+                    inside = at < len(wanted)
+                    lines = lines[inside][wanted[at[inside]] == lines[inside]]
+                if len(lines):
+                    first = (i is not None, i, _own(hashes))
+                    for h in lines.tolist():
+                        if h not in held or first < held[h]:
+                            held[h] = first
+                if len(held) >= HELD:
+                    yield out(kind)
+                    held.clear()
+        if held:
+            yield out(kind)
+    return run
+
+
+def keep_first(docs: DataFrame, least: int = 10, batches: int = 8, fanout: int = 4,
+               broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+    """All rows of ``docs``; a line found in at least ``least`` documents stays
+    in one text only, the first by doc_id (null first, then by text hash) that
+    holds it. Copies of that text are treated alike and all keep the line, so
+    they are still copies of each other afterwards."""
+    spark = docs.sparkSession
+    runs = LineRuns(spark, fanout)
+    runs.add(docs, batches=batches)
+    frequent = materialize(runs.frequent(least), "frequent")
+    few = frequent.count() <= broadcast_lines
+    shared = spark.sparkContext.broadcast(
+        np.sort(frequent.toPandas()["h"].to_numpy(dtype=np.int64)) if few else None)
+    lines = docs.select("doc_id", "text").mapInArrow(
+        _first_holders(lambda: shared.value), f"h long, doc_id {dict(docs.dtypes)['doc_id']}, own long")
+    if not few:
+        lines = lines.join(frequent, "h", "left_semi")
+    owners = lines.groupBy("h").agg(F.min(F.struct("doc_id", "own"))["own"].alias("owner"))
+    return drop_lines(docs, materialize(owners, "owners"), broadcast_lines)
+
+
 def unseen_lines(runs: LineRuns, batch: DataFrame, least: int = 1) -> DataFrame:
     """Incremental use: ``batch`` without the lines that the runs hold already
     (in at least ``least`` documents); the batch's own run is then added."""
-    from ..session import materialize
-
     out = materialize(drop_lines(batch, runs.frequent(least)), "unseen")
     runs.add(batch)
     return out

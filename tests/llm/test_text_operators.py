@@ -291,3 +291,45 @@ def test_pipeline_stages(spark, docs):
             assert {r.doc_id for r in rows} <= {d.doc_id for d in docs.collect()} and len(rows) < docs.count()
     assert "ids_sha256" in corpus_pipeline.STAGES[-1][1](spark, now, None).columns
     assert len(QUERIES) == 10
+
+
+def brute_first(rows, least=10):
+    """Texts after line dedup that leaves each frequent line to the copies of the first text, by id, that holds it."""
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+    keys = [[key(x) for x in (t or "").split("\n")] for _, t in rows]
+    held = Counter(k for ks in keys for k in set(ks) if k)
+    first = {}
+    for n in sorted(range(len(rows)), key=lambda n: -1 if rows[n][0] is None else rows[n][0]):
+        for k in keys[n]:
+            first.setdefault(k, keys[n])
+    return [(i, None if t is None else "\n".join(
+        x for x, k in zip(t.split("\n"), ks) if held[k] < least or not k or first[k] == ks))
+        for (i, t), ks in zip(rows, keys)]
+
+
+def copied_rows():
+    prose = [" ".join(f"{g}{i}" for i in range(60)) + "\n" + " ".join(f"{g}{i}" for i in range(60, 140))
+             for g in "pqr"]
+    return [*[(100 + i, prose[0]) for i in range(12)],                             # copies
+            *[(200 + i, prose[1].upper() if i % 2 else prose[1] + " ") for i in range(14)],  # copies but for case and ends
+            *[(300 + i, f"{prose[2]}\nlast {i}") for i in range(11)],              # near copies
+            *[(400 + i, f"common\nown {i} of these") for i in range(10)], (500, "common"), (501, "Common "),
+            (99, "before\ncommon"), (None, "no words lost"), (502, None), (503, ""), (504, "\n"), (505, " \nx\nx")]
+
+
+@pytest.mark.parametrize("broadcast_lines", [1000, 0])
+def test_frequent_lines_stay_in_their_first_text(spark, none, broadcast_lines):
+    rows = copied_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = linededup.keep_first(df, broadcast_lines=broadcast_lines).collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter(brute_first(rows))
+    assert linededup.keep_first(none, broadcast_lines=broadcast_lines).count() == 0
+
+
+def test_line_stage_keeps_the_text_of_ten_copies(spark):
+    rows = copied_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = Counter(map(tuple, dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, None).collect()))
+    want = [(i, t) for (i, t), (_, old) in zip(brute_first(rows), rows) if t == old or WORD.search(t)]
+    assert got == Counter(want) and {i for i, _ in rows} - {i for i, _ in want} == {500, 501}
+    assert all(got[r] == 1 for r in rows[:26]) and got[rows[26]] == 1
