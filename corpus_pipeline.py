@@ -33,8 +33,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return neardup.keep_one(docs)
+    """One document of each group of near-duplicates stays: Jaccard similarity
+    0.8 or more of their five-word shingles, directly or over others."""
+    return neardup.keep_one(docs, percent=80, n_bands=44, width=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

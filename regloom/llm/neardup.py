@@ -11,7 +11,8 @@ components, further members become centres, from the smallest and the largest
 component of the bucket, twice as many each round, until every bucket lies in
 one component or all its members have been centres. So no pair that shares a
 bucket is lost, and groups of true copies cost one edge per member. A pair at
-the threshold 0.85 shares no bucket with probability (1 - 0.85^5)^30 < 3e-8.
+the threshold 0.85 shares no bucket with probability (1 - 0.85^5)^30 < 3e-8;
+at 0.8 as little takes 44 bands, (1 - 0.8^5)^44 < 3e-8.
 
 Nulls: a null or wordless text has an empty set, is linked with nothing and
 kept. The component of documents whose ids are all null is null. Rows of one
@@ -103,13 +104,13 @@ def bands(hashes: np.ndarray, n_bands: int, rows: int, probes: np.ndarray) -> np
     return key.view(np.int64)
 
 
-def _sketches(n_bands: int, rows: int):
+def _sketches(n_bands: int, rows: int, width: int):
     def run(stream):
         words, probes = _WordHash(), _probes(n_bands * rows)
         for part in stream:
             size, key, keys = [], [], []
             for text in part.column("text").to_pylist():
-                s = shingle_set(text, words)
+                s = shingle_set(text, words, width)
                 size.append(len(s))
                 key.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(bands(s, n_bands, rows, probes) if len(s) else None)
@@ -120,12 +121,14 @@ def _sketches(n_bands: int, rows: int):
     return run
 
 
-def _sets(stream):
-    words = _WordHash()
-    for part in stream:
-        sets = [shingle_set(t, words).view(np.int64) for t in part.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [part.column("cls"), pa.array(sets, pa.list_(pa.int64()))], ["cls", "hashes"])
+def _sets(width: int):
+    def run(stream):
+        words = _WordHash()
+        for part in stream:
+            sets = [shingle_set(t, words, width).view(np.int64) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("cls"), pa.array(sets, pa.list_(pa.int64()))], ["cls", "hashes"])
+    return run
 
 
 def _with_id(docs: DataFrame) -> DataFrame:
@@ -167,13 +170,13 @@ def _next_stars(members: DataFrame, labels: DataFrame, done: DataFrame, count: i
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, n_bands: int = BANDS,
-                    rows: int = ROWS) -> DataFrame:
+                    rows: int = ROWS, width: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``, with
     ``_id`` (shared by rows that agree in id and text) and ``_comp`` (the
     component's own number; null for wordless rows)."""
     tagged = _with_id(docs.select("doc_id", "text"))
     sketched = materialize(tagged.mapInArrow(
-        _sketches(n_bands, rows),
+        _sketches(n_bands, rows, width),
         f"doc_id {dict(docs.dtypes)['doc_id']}, _id string, n_shingles long, set_key binary, "
         "bands array<long>"), "sketch")
     classes = materialize(
@@ -186,7 +189,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n_bands: int = BAND
     members = materialize(keyed.join(buckets, "key"), "members")
     reps = members.select("cls").distinct().join(classes.select("cls", "_id"), "cls")
     sets = materialize(tagged.select("_id", "text").join(reps, "_id").select("cls", "text")
-                       .mapInArrow(_sets, "cls long, hashes array<long>")
+                       .mapInArrow(_sets(width), "cls long, hashes array<long>")
                        .dropDuplicates(["cls"]), "sets")
 
     pairs = members.where("cls != centre").select(F.col("cls").alias("u"), F.col("centre").alias("v")).distinct()
@@ -220,11 +223,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n_bands: int = BAND
                     "_id", F.col("comp").alias("_comp")))
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, n_bands: int = BANDS, rows: int = ROWS,
+             width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates, all columns
     kept. Of rows that repeat the same id and words only one stays; documents
     without words all stay."""
-    kept = near_duplicates(docs, percent).where("kept")
+    kept = near_duplicates(docs, percent, n_bands, rows, width).where("kept")
     ids = (kept.where("n_shingles > 0").groupBy("_comp").agg(F.min("_id").alias("_id"))
            .select("_id", F.lit(True).alias("_single"))
            .union(kept.where("n_shingles = 0").select("_id", F.lit(False)).distinct()))

@@ -333,3 +333,41 @@ def test_line_stage_keeps_the_text_of_ten_copies(spark):
     want = [(i, t) for (i, t), (_, old) in zip(brute_first(rows), rows) if t == old or WORD.search(t)]
     assert got == Counter(want) and {i for i, _ in rows} - {i for i, _ in want} == {500, 501}
     assert all(got[r] == 1 for r in rows[:26]) and got[rows[26]] == 1
+
+
+def brute_kept(rows, percent=80, width=5):
+    """Ids that near-dedup keeps, of rows with distinct ids and words: the least of each component."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    comp = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            k = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k):
+                comp = [comp[b] if c == comp[a] else c for c in comp]
+    return {min(rows[b][0] for b in range(len(rows)) if comp[b] == c) for c in set(comp)}
+
+
+def borderline_rows():
+    """Pairs on either side of 0.8 in five-word shingles."""
+    rows = []
+    for g, added in enumerate((40, 45, 48, 49, 50, 60)):  # appended words: at 45 three-word 0.815, five-word 0.813
+        w = [f"g{g}x{i}" for i in range(200)]
+        rows += [(10 * g, " ".join(w)), (10 * g + 1, " ".join(w + [f"g{g}y{i}" for i in range(added)]))]
+    for g, changed in enumerate((15, 20, 22, 25, 30), 10):  # scattered words: at 25 three-word 0.860, five-word 0.777
+        w = [f"g{g}x{i}" for i in range(1000)]
+        v = [f"g{g}y{i}" if i % 30 == 10 and i // 30 < changed else x for i, x in enumerate(w)]
+        rows += [(10 * g, " ".join(w)), (10 * g + 1, " ".join(v))]
+    rows += [(900, "one two three four"), (901, "One two  three four"), (902, "one two three five")]
+    return rows
+
+
+def test_near_stage_takes_five_words_and_eighty_percent(spark):
+    rows = borderline_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = dict(corpus_pipeline.STAGES)["minhash_near_dedup"](spark, df, None).collect()
+    assert sorted(map(tuple, got)) == sorted(r for r in rows if r[0] in brute_kept(rows))
+    ids = {r.doc_id for r in got}
+    assert {11, 131} & ids == {131}  # 45 appended: one group; 25 scattered: two documents
