@@ -371,3 +371,26 @@ def test_near_stage_takes_five_words_and_eighty_percent(spark):
     assert sorted(map(tuple, got)) == sorted(r for r in rows if r[0] in brute_kept(rows))
     ids = {r.doc_id for r in got}
     assert {11, 131} & ids == {131}  # 45 appended: one group; 25 scattered: two documents
+
+
+def test_units_end_in_every_script(spark):
+    rng = np.random.RandomState(5)
+
+    def line(letters, end, gap=" ", n=60, long=9):
+        word = lambda: "".join(letters[i] for i in rng.randint(len(letters), size=rng.randint(2, 8)))
+        return "".join(gap.join(word() for _ in range(long)) + end for _ in range(n))
+    latin, cjk = "abcdefghijklmnopqrstuvwxyz", [chr(c) for c in range(0x4e00, 0x9f00, 7)]
+    texts = [line("bcdfhjmnpqtuvwxyz", ". "), line(latin.upper(), "! "), line("0123456789", "? "), line(latin, '." '),
+             line("абвгдежзиклмнопрстуфхцчшэюя", ". "), line("ابتثجحخدذرزسشصضطظعغ", "؟ "), line("कखगघचछजझटठडढतथदधन", "। "),
+             line(cjk, "。", ""), line(cjk, "」。「", ""), line(latin, " "), line(cjk, " "), line(latin, "", "", long=20),
+             line("абвгдежзиклмнопрстуфхцчшэюя", " "), "a " + line("0123456789", " ")]
+    # as each text is followed by an empty one, its edited text is its first two thirds
+    df = spark.createDataFrame([(2 * i + d, t if d else "") for i, t in enumerate(texts) for d in (0, 1)],
+                               "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in iblt.fingerprint_table(df).collect()}
+    cut = re.compile(iblt.UNIT_END)
+    for i, t in enumerate(texts):
+        a, b = ({u for u in cut.split(x) if u} for x in (t, t[:len(t) - len(t) // 3]))
+        r = got[2 * i + 1]
+        assert r.n_units == len(a) > 10 and r.near_edited == pytest.approx(1 - len(a ^ b) / (len(a) + len(b)))
+        assert r.near_edited > 0.5, (i, r.near_edited)
