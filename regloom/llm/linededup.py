@@ -1,10 +1,11 @@
-"""Line deduplication over levelled sorted runs of line hashes.
+"""Line deduplication over levelled runs of line hashes.
 
 Each batch of documents adds a run: its distinct line hashes, sorted, with the
 number of documents that hold them. Runs sit on levels; when a level has
-``fanout`` runs they are merged into one run of the next level, so a corpus of
-n batches keeps O(log n) runs. Documents are cleaned by merging their sorted
-line hashes against the sorted hashes of the lines to drop.
+``fanout`` runs they are aggregated into one run of the next level, so a corpus
+of n batches keeps O(log n) runs. Documents are cleaned by looking their line
+hashes up in the sorted hashes of the lines to drop, or by a join where these
+are too many to broadcast.
 
 A line's key is the line without ASCII white space at both ends, A-Z lowered.
 Nulls: a null text is one empty line and stays null. Empty keys are never
