@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import load
-from . import iblt, licenses, linededup, mixing, neardup, pieces, quality, sharding, toxicity, warc
+from . import (alignment, chat, iblt, licenses, linededup, mixing, neardup, pieces, quality, sharding, toxicity,
+               warc, whitening)
 from .common import documents
 
 SHARDS = 8
@@ -52,6 +53,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_table(documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_table(load(spark, sf_dir.rstrip("/"), "embeddings"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_table(load(spark, sf_dir.rstrip("/"), "conversations"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_table(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jump_sharding, op2_quality_rules, op3_minhash_neardup, op4_source_mixing, op5_warc_round_trip,
-    op6_paragraph_sketch, op7_sentencepiece, op8_toxicity_mil, op9_license_scan, op10_line_dedup)}
+    op6_paragraph_sketch, op7_sentencepiece, op8_toxicity_mil, op9_license_scan, op10_line_dedup, op11_embedding_whitening, op12_chat_formatting,
+    op13_tokenizer_alignment)}
