@@ -1,6 +1,6 @@
 """NumPy mirrors of the model kernels, used *inside* Spark tasks
-(``mapInPandas``) for the training aggregates: per-partition partial sums of
-Gram matrices and gradients. Nothing here sees more than one Arrow batch."""
+for the training sums: Gram matrices, memberships and gradients of one block of
+rows at a time."""
 
 from __future__ import annotations
 
@@ -9,6 +9,16 @@ import numpy as np
 EPS = 1e-10
 
 
+def fcm_memberships(X: np.ndarray, C: np.ndarray, m: float) -> np.ndarray:
+    """(n, k) fuzzy-c-means memberships. Each row's sum of ``d_j^-e`` is formed
+    once, so a membership costs the same however many clusters there are."""
+    e = 2.0 / (m - 1.0)
+    d = np.maximum(np.sqrt(sq_dists(X, C)), EPS)
+    near = (d.min(axis=1, keepdims=True) / d) ** e  # scaled by the nearest, against overflow
+    raw = 1.0 / (near.sum(axis=1, keepdims=True) / near + EPS)
+    return raw / (raw.sum(axis=1, keepdims=True) + EPS)
+
+
 def sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     """(n, k) squared Euclidean distances."""
     diff = X[:, None, :] - C[None, :, :]
@@ -69,7 +79,7 @@ def anfis_design(X: np.ndarray, mf_type: str, prm: dict, rules: np.ndarray) -> n
     return rule_design(wn, X)
 
 
-def anfis_gradient_sums(X, y, prm, rules, theta) -> np.ndarray:
+def anfis_gradient_sums(X, y, prm, rules, theta, weights=1.0) -> np.ndarray:
     """Gaussian premise gradients summed over rows: array (2, d, m), one layer
     for the centres and one for the widths; the driver divides by the row count.
 
@@ -85,6 +95,7 @@ def anfis_gradient_sums(X, y, prm, rules, theta) -> np.ndarray:
     p = np.einsum("nr,nr->n", wn, outputs)[:, None]
     total = w.sum(axis=1, keepdims=True) + EPS
     pull = (p - np.asarray(y)[:, None]) * (outputs - p) * w * (total - w) / (total ** 2 + EPS)
+    pull = pull * np.reshape(weights, (-1, 1))
     incidence = np.zeros((len(rules), d * m))
     incidence[np.arange(len(rules))[:, None], np.arange(d) * m + rules] = 1.0
     on_log = (pull @ incidence).reshape(n, d, m) * mu / (mu + EPS)
@@ -148,14 +159,14 @@ def mlp_forward(X, theta, sizes, kind):
     return acts
 
 
-def mlp_loss_grad(X, y, theta, sizes, kind):
-    """Sum over rows of 0.5*(pred - y)^2 and its gradient (no L2 term)."""
+def mlp_loss_grad(X, y, theta, sizes, kind, weights=1.0):
+    """Weighted sum over rows of 0.5*(pred - y)^2 and its gradient (no L2 term)."""
     Ws, _ = unpack(theta, sizes)
     acts = mlp_forward(X, theta, sizes, kind)
     delta = acts[-1][:, 0] - y
-    loss = 0.5 * float(delta @ delta)
+    loss = 0.5 * float((weights * delta) @ delta)
     grads_W, grads_b = [], []
-    d = delta[:, None]
+    d = (weights * delta)[:, None]
     for i in range(len(Ws) - 1, -1, -1):
         grads_W.append(acts[i].T @ d)
         grads_b.append(d.sum(axis=0))

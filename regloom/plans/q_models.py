@@ -26,6 +26,7 @@ from ..operators import split as S
 from ..session import cut_lineage, load
 from ..sources import io
 from . import search
+from . import spaces
 from .registry import RUNS_CTE, fixture, register, rounded, runs_table
 
 # ---------------------------------------------------------------------------

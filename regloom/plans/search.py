@@ -1,32 +1,32 @@
-"""Hyper-parameter search, repeated runs and the experiment grid.
+"""Hyper-parameter search, repeated runs and the experiment grid.
 
-The driver owns the (dataset, model, trial, fold, run) loop; every fit is a
-sequence of Spark aggregations over one cached feature table, and folds are
-filters on that table (``fold != f``), never copies. Independent fits are
-submitted from a small thread pool, as ``CrossValidator(parallelism=...)``
-does, so the cluster runs several fits' jobs at once."""
+Fits are coroutines over one packed table (:mod:`..models.scans`): all
+candidates of a search on all folds, and all seeds of the repeated runs, are
+answered by the same passes over the data, so a search of 15 candidates over 5
+folds takes as many passes as its longest fit."""
 
 from __future__ import annotations
 
 import json
 import math
-import zlib
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..models.anfis import ANFISRegressor
-from ..models.base import ScaledRegressor
+from ..models.base import ScaledModel, ScaledRegressor
 from ..models.fcm import FCMNetworkRegressor
 from ..models.mlp import MLPRegressor
 from ..models.rbf import RBFRegressor
+from ..models.scans import NUMERICAL, TrainingTable, View, ask_squares, rmse_of, serve
 from ..operators import metrics as M
 from ..operators import split as S
+from ..session import materialize, share
+from .spaces import candidates
 
 # Study configuration
 N_RUNS = 21
@@ -34,8 +34,6 @@ N_FOLDS = 5
 TEST_SIZE = 0.2
 N_TRIALS = 15
 RANDOM_STATE = 42
-#: Failures of the arithmetic of a fit; everything else (analysis errors, lost jobs) propagates.
-NUMERICAL = (np.linalg.LinAlgError, ArithmeticError)
 MODELS = ["MLP", "RBF Network", "ANFIS", "FNN-FCM"]
 # named workload profiles: (dataset indices, model indices) per machine
 PROFILES = {
@@ -46,81 +44,6 @@ PROFILES = {
 }
 
 
-# ---------------------------------------------------------------------------
-# H1-H4 search spaces (seeded random search)
-# ---------------------------------------------------------------------------
-
-class Draw:
-    """Seeded draws for one trial; deterministic in (seed, model, trial)."""
-
-    def __init__(self, seed: int, model: str, trial: int):
-        self.rng = np.random.RandomState(zlib.crc32(f"{seed}:{model}:{trial}".encode()))
-
-    def int(self, lo: int, hi: int, step: int = 1, log: bool = False) -> int:
-        if log:
-            v = int(math.floor(math.exp(self.rng.uniform(math.log(lo), math.log(hi + 1)))))
-            return max(lo, min(hi, v))
-        return int(lo + step * self.rng.randint(0, (hi - lo) // step + 1))
-
-    def float(self, lo: float, hi: float, log: bool = False) -> float:
-        if log:
-            return float(math.exp(self.rng.uniform(math.log(lo), math.log(hi))))
-        return float(self.rng.uniform(lo, hi))
-
-    def choice(self, options: Sequence):
-        return options[self.rng.randint(0, len(options))]
-
-
-def space_mlp(d: Draw, large_batch: bool = False) -> dict:
-    """H1. ``large_batch`` is the caller's choice of the narrower space for
-    tables that first-order solvers should pass over in large batches."""
-    layers = tuple(d.int(16, 256, log=True) for _ in range(d.int(1, 3)))
-    activation = d.choice(["relu", "tanh", "logistic"])
-    if large_batch:
-        solver = d.choice(["adam", "sgd"])
-        batch = d.choice([256, 512, 1024, 2048])
-        max_iter = d.int(100, 300, step=50)
-    else:
-        solver = d.choice(["adam", "sgd", "lbfgs"])
-        max_iter = d.int(200, 1000, step=100)
-        batch = d.choice([16, 32, 64, 128]) if solver in ("adam", "sgd") else "auto"
-    lr = d.float(1e-4, 1e-1, log=True) if solver in ("adam", "sgd") else 0.001
-    alpha = d.float(1e-5, 1e-1, log=True) if d.choice([True, False]) else 0.0
-    return {"hidden_layer_sizes": layers, "activation": activation, "solver": solver,
-            "learning_rate_init": lr, "max_iter": max_iter, "batch_size": batch, "alpha": alpha}
-
-
-def space_rbf(d: Draw, large_batch: bool = False) -> dict:
-    """H2."""
-    n_centers = d.int(10, 200, log=True)
-    mode = d.choice(["fixed", "per_center"])
-    sigma = d.float(0.1, 10.0, log=True) if mode == "fixed" else 1.0
-    return {"n_centers": n_centers, "sigma": sigma, "sigma_mode": mode,
-            "alpha": d.float(1e-5, 1e1, log=True)}
-
-
-def space_anfis(d: Draw, large_batch: bool = False) -> dict:
-    """H3."""
-    return {"n_mfs": d.int(2, 5), "mf_type": d.choice(["gaussian", "bell", "triangular"]),
-            "learning_rate": d.float(1e-4, 1e-1, log=True), "n_epochs": d.int(50, 300, step=50),
-            "lambda_reg": d.float(1e-6, 1e-1, log=True)}
-
-
-def space_fcm(d: Draw, large_batch: bool = False) -> dict:
-    """H4."""
-    return {"n_clusters": d.int(2, 10), "fuzziness": d.float(1.5, 3.0),
-            "mf_type": d.choice(["gaussian", "bell"]), "learning_rate": d.float(1e-4, 1e-1, log=True),
-            "n_epochs": d.int(50, 300, step=50), "similarity_threshold": d.float(0.01, 0.5)}
-
-
-SPACES: dict[str, Callable[[Draw, int], dict]] = {
-    "MLP": space_mlp, "RBF Network": space_rbf, "ANFIS": space_anfis, "FNN-FCM": space_fcm}
-
-
-def candidates(model: str, n_trials: int, large_batch: bool = False, seed: int = RANDOM_STATE) -> list[dict]:
-    return [SPACES[model](Draw(seed, model, t), large_batch) for t in range(n_trials)]
-
-
 def make_regressor(model: str, params: dict, seed: int | None,
                    overrides: dict | None = None) -> ScaledRegressor:
     """L3 pipeline for one model family and parameter set."""
@@ -136,7 +59,7 @@ def make_regressor(model: str, params: dict, seed: int | None,
         inner = FCMNetworkRegressor(random_state=seed, **p)
     else:
         raise ValueError(f"unknown model {model!r}")
-    return ScaledRegressor(inner, cache=False)
+    return ScaledRegressor(inner)
 
 
 # ---------------------------------------------------------------------------
@@ -155,9 +78,10 @@ class Study:
 
 def fold_rmse(model: str, params: dict, table: DataFrame, features: Sequence[str],
               label: str, fold: int, seed: int | None, overrides: dict | None) -> tuple[float, str | None]:
-    """One CV cell: fit on ``fold != f``, RMSE on ``fold == f``. A numerical
-    failure or a non-finite value scores +inf and names its cause; any other
-    error is the caller's."""
+    """One CV cell by itself: fit on ``fold != f``, RMSE on ``fold == f``. A
+    numerical failure or a non-finite value scores +inf and names its cause;
+    any other error is the caller's. :func:`cross_validate` scores all cells in
+    shared passes instead and gives the same values."""
     try:
         fitted = make_regressor(model, params, seed, overrides).fit(
             table.where(F.col("fold") != fold), features, label)
@@ -165,42 +89,66 @@ def fold_rmse(model: str, params: dict, table: DataFrame, features: Sequence[str
         v = M.rmse(pred, label, "_pred")
     except NUMERICAL as e:
         return math.inf, f"{type(e).__name__}: {e}"
-    if v is None or not math.isfinite(v):
+    return _scored(v)
+
+
+def _scored(value) -> tuple[float, str | None]:
+    if isinstance(value, Exception):
+        return math.inf, f"{type(value).__name__}: {value}"
+    if value is None or not math.isfinite(value):
         return math.inf, "score is not finite"
-    return float(v), None
+    return float(value), None
+
+
+def _cell(regressor: ScaledRegressor, table: TrainingTable, view: View):
+    """Fit on a view's training rows, RMSE over its held-out rows."""
+    model = yield from regressor.steps(table, view, [])
+    squares = yield ask_squares(view, model.inner.predict_numpy)
+    return rmse_of(squares)
+
+
+def score_cells(table: TrainingTable, regressors: Sequence[ScaledRegressor]) -> list[list[tuple]]:
+    """(rmse, error) of every regressor on every fold, all in shared passes."""
+    views = [table.view(f) for f in range(table.n_folds)]
+    found = serve(table, [_cell(r, table, v) for r in regressors for v in views])
+    k = len(views)
+    return [[_scored(v) for v in found[i * k:(i + 1) * k]] for i in range(len(regressors))]
+
+
+def mean_of_folds(trials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """H5 over a (trial, fold, rmse) table: (by..., trial, value), the mean over
+    the folds; +inf where any fold failed (a missing or non-finite score)."""
+    bad = F.col("rmse").isNull() | F.isnan("rmse") | (F.abs("rmse") == float("inf"))
+    return trials.groupBy(*by, "trial").agg(F.max(bad).alias("_bad"), F.avg("rmse").alias("_mean")).select(
+        *by, "trial", F.when(F.col("_bad"), F.lit(float("inf"))).otherwise(F.col("_mean")).alias("value"))
 
 
 def cross_validate(spark: SparkSession, train: DataFrame, features: Sequence[str], label: str,
                    key: Sequence[str], model: str, n_trials: int = N_TRIALS, n_folds: int = N_FOLDS,
-                   seed: int = RANDOM_STATE, parallelism: int = 4,
-                   overrides: dict | None = None, row_cap: int | None = None,
+                   seed: int = RANDOM_STATE, overrides: dict | None = None, row_cap: int | None = None,
                    large_batch: bool = False) -> Study:
-    """H5-H7: P2 folds over all training rows, candidates x folds fitted,
-    value = mean of fold RMSEs, best = lowest value (ties -> lowest trial).
-    ``row_cap`` (P3 subset) applies only when the caller gives one; P4's fold
-    rule is ``split.adaptive_folds``, for the caller to apply."""
+    """H5-H7: P2 folds over all training rows, candidates x folds scored in
+    shared passes over one packed table, value = mean of fold RMSEs, best =
+    lowest value (ties -> lowest trial). ``row_cap`` (P3 subset) applies only
+    when the caller gives one; P4's fold rule is ``split.adaptive_folds``, for
+    the caller to apply."""
     n, k = train.count(), n_folds
     sub = train if row_cap is None else S.exact_subset(train, key, row_cap, seed, n=n)
     n_sub = n if row_cap is None else min(n, row_cap)
-    table = S.kfold(sub, key, k, f"kfold:{seed}", n=n_sub).persist(StorageLevel.MEMORY_AND_DISK)
-    cands = candidates(model, n_trials, large_batch, seed)
-    cells = [(t, f) for t in range(len(cands)) for f in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        res = list(pool.map(lambda c: fold_rmse(model, cands[c[0]], table, features, label, c[1],
-                                                seed, overrides), cells))
-    table.unpersist()
-    rows = [(t, f, *r) for (t, f), r in zip(cells, res)]
+    folded = S.kfold(sub, key, k, f"kfold:{seed}", n=n_sub)
+    cands = candidates(spark, model, n_trials, seed, large_batch)
+    table = TrainingTable(folded, features, label, "fold", k)
+    try:
+        cells = score_cells(table, [make_regressor(model, c, seed, overrides) for c in cands])
+    finally:
+        table.release()
+    rows = [(t, f, *cell) for t, own in enumerate(cells) for f, cell in enumerate(own)]
     trials = spark.createDataFrame(rows, "trial int, fold int, rmse double, error string")
-    per_trial = {}
-    for t, _, r, _ in rows:
-        per_trial.setdefault(t, []).append(r)
-    values = {t: (math.inf if any(math.isinf(v) for v in vs) else float(np.mean(vs)))
-              for t, vs in per_trial.items()}
-    best_t = min(values, key=lambda t: (values[t], t))
-    scores = spark.createDataFrame(
-        [(t, values[t], json.dumps(cands[t], default=str)) for t in sorted(values)],
-        "trial int, value double, params string")
-    return Study(model, trials, scores, cands[best_t], values[best_t], k)
+    params = spark.createDataFrame([(t, json.dumps(c, default=str)) for t, c in enumerate(cands)],
+                                   "trial int, params string")
+    scores = mean_of_folds(trials).join(F.broadcast(params), "trial")  # a row per candidate
+    best = best_trial(scores).first()
+    return Study(model, trials, scores, cands[best.trial], best.value, k)
 
 
 def best_trial(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -224,51 +172,74 @@ def single_run(model: str, params: dict, train: DataFrame, test: DataFrame,
     return met, pred
 
 
+def _predictions(test: DataFrame, features: Sequence[str], label: str, models: dict[int, ScaledModel]) -> DataFrame:
+    """(run, y, p): every test row under every model, in one pass."""
+    held = share(test.sparkSession, models)
+    width = len(features)
+
+    def run(stream):
+        own = held.value
+        for part in stream:
+            x = np.column_stack([part.column(i).to_numpy(zero_copy_only=False) for i in range(width)])
+            for seed, model in own.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(part.num_rows, seed, dtype=np.int32)), part.column(width),
+                     pa.array(model.predict_numpy(x))], ["run", "y", "p"])
+
+    columns = [F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    return test.select(*columns, F.col(f"`{label}`").cast("double").alias("y")).mapInArrow(
+        run, "run int, y double, p double")
+
+
 def repeated_runs(spark: SparkSession, model: str, params: dict, train: DataFrame,
                   test: DataFrame, features: Sequence[str], label: str, n_runs: int = N_RUNS,
-                  parallelism: int = 4, overrides: dict | None = None) -> DataFrame:
-    """Seeds 0..n_runs-1 with fixed parameters and split; failed runs are
-    skipped. Returns the run table ``(model, run, nine metrics)``."""
-    def one(seed: int):
-        try:
-            met, _ = single_run(model, params, train, test, features, label, seed, overrides)
-            r = met.first()
-            # a diverged fit (non-finite predictions) fails scoring and the run is skipped
-            if r is None or r["RMSE"] is None or not math.isfinite(r["RMSE"]):
-                return None
-            return (model, seed, *[r[m] for m in M.METRICS])
-        except NUMERICAL:
-            return None
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = [r for r in pool.map(one, range(n_runs)) if r is not None]
+                  overrides: dict | None = None, table: TrainingTable | None = None) -> DataFrame:
+    """Seeds 0..n_runs-1 with fixed parameters and split, fitted in shared
+    passes; failed runs are skipped. A model that draws nothing is fitted once
+    and stands for every seed. Returns the run table ``(model, run, nine metrics)``."""
+    regressors = [make_regressor(model, params, seed, overrides) for seed in range(n_runs)]
+    alike = not regressors[0].regressor.draws if regressors else False
+    own = table or TrainingTable(train, features, label)
+    try:
+        view = own.view()
+        fits = serve(own, [r.steps(own, view, []) for r in (regressors[:1] if alike else regressors)])
+    finally:
+        if table is None:
+            own.release()
+    fits = fits * n_runs if alike else fits
+    models = {seed: f for seed, f in enumerate(fits) if not isinstance(f, Exception)}
     schema = "model string, run int, " + ", ".join(f"{m} double" for m in M.METRICS)
-    return spark.createDataFrame(rows, schema)
+    if not models:
+        return spark.createDataFrame([], schema)
+    met = M.regression_metrics(_predictions(test, features, label, models), "y", "p", by=["run"], materialize=True)
+    sound = F.col("RMSE").isNotNull() & ~F.isnan("RMSE") & (F.abs("RMSE") < float("inf"))
+    # a diverged fit (non-finite predictions) fails scoring and the run is skipped
+    return met.where(sound).select(F.lit(model).alias("model"), "run", *M.METRICS)
 
 
 def experiment(spark: SparkSession, table: DataFrame, features: Sequence[str], label: str,
                key: Sequence[str], models: Sequence[str] = tuple(MODELS),
                n_trials: int = N_TRIALS, n_runs: int = N_RUNS, n_folds: int = N_FOLDS,
-               parallelism: int = 4, overrides: dict | None = None) -> tuple[DataFrame, dict]:
+               overrides: dict | None = None) -> tuple[DataFrame | None, dict]:
     """H11 for one dataset: P1 split, then per model H7 search and H10 runs; a
     failing model is skipped. Returns (runs of all models, studies)."""
-    split = S.holdout(table, key, TEST_SIZE, RANDOM_STATE)
-    train = split.where(F.col("split") == "train").drop("split").persist(StorageLevel.MEMORY_AND_DISK)
-    test = split.where(F.col("split") == "test").drop("split").persist(StorageLevel.MEMORY_AND_DISK)
+    split = materialize(S.holdout(table, key, TEST_SIZE, RANDOM_STATE), "split")
+    train = split.where(F.col("split") == "train").drop("split")
+    test = split.where(F.col("split") == "test").drop("split")
     runs, studies = None, {}
-    for model in models:
-        try:
+    packed = TrainingTable(train, features, label)
+    try:
+        for model in models:
             ov = (overrides or {}).get(model)
-            st = cross_validate(spark, train, features, label, key, model, n_trials, n_folds,
-                                parallelism=parallelism, overrides=ov)
+            st = cross_validate(spark, train, features, label, key, model, n_trials, n_folds, overrides=ov)
             studies[model] = st
-            r = repeated_runs(spark, model, st.best_params, train, test, features, label, n_runs,
-                              parallelism, ov)
+            if math.isinf(st.best_value):  # no candidate could be fitted
+                continue
+            r = materialize(repeated_runs(spark, model, st.best_params, train, test, features, label, n_runs, ov,
+                                          packed), "runs")
             runs = r if runs is None else runs.unionByName(r)
-        except NUMERICAL:  # a model that diverges does not stop the grid
-            continue
-    train.unpersist()
-    test.unpersist()
+    finally:
+        packed.release()
     return runs, studies
 
 

@@ -81,6 +81,26 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Shared:
+    """A broadcast value whose classes travel with it: executors need no copy of the package."""
+
+    def __init__(self, broadcast):
+        self.broadcast = broadcast
+
+    @property
+    def value(self):
+        from pyspark import cloudpickle
+        return cloudpickle.loads(self.broadcast.value)
+
+    def release(self) -> None:
+        self.broadcast.unpersist()
+
+
+def share(spark: SparkSession, value) -> Shared:
+    from pyspark import cloudpickle
+    return Shared(spark.sparkContext.broadcast(cloudpickle.dumps(value)))
+
+
 #: Rows up to which a counted table of groups is sent to every task.
 SMALL_ROWS = 20_000
 
