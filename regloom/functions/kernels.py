@@ -172,16 +172,6 @@ def normalised_stage(df, prefix: str, refs: Sequence[Column]):
     return staged(df, prefix, [r / total for r in refs])
 
 
-def fcm_membership_stage(df, x: Sequence[Column], centres: np.ndarray, m: float, prefix: str):
-    """F2 in three stages: floored distances, raw memberships, normalised."""
-    e = 2.0 / (m - 1.0)
-    df, d = staged(df, f"{prefix}d", [F.greatest(F.sqrt(sq_dist(x, c)), F.lit(1e-10))
-                                      for c in centres])
-    df, r = staged(df, f"{prefix}r", [F.lit(1.0) / (_sum([F.pow(di / dj, F.lit(e)) for dj in d])
-                                                    + F.lit(EPS)) for di in d])
-    return normalised_stage(df, f"{prefix}u", r)
-
-
 def temp_columns(df, prefixes: Sequence[str]) -> list[str]:
     return [c for c in df.columns if any(c.startswith(p) for p in prefixes)]
 

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from ..session import share
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 #: Bytes of partial vectors that may go to the driver unmerged, and doubles of a segment beyond that.
-DIRECT_BYTES, SEGMENT = 32 << 20, 1 << 16
+DIRECT_BYTES, SEGMENT = 128 << 20, 1 << 16
 FAN = 64
 
 
@@ -85,11 +85,16 @@ def pack(df: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS, ha
     found = distinct.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("rows")).first()
     cells = max(1, -(-found.n // block_rows))
     dealt = distinct.withColumn("cell", F.pmod(F.xxhash64("u", F.lit(1)), F.lit(cells)))
-    blocks = (dealt.groupBy("cell").applyInArrow(_packer(width), "cell long, data binary")
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    parts = blocks.select(F.spark_partition_id().alias("p")).distinct().count()
+    # a partition count of its own: the small table would be coalesced to one task, and every pass with it
+    spark = df.sparkSession
+    width_of_cluster = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
+                           spark.sparkContext.defaultParallelism)
+    parts = min(cells, width_of_cluster)
+    blocks = (dealt.repartition(parts, "cell").groupBy("cell")
+              .applyInArrow(_packer(width), "cell long, data binary").persist(StorageLevel.MEMORY_AND_DISK))
+    blocks.count()
     distinct.unpersist()
-    return Blocks(blocks, list(columns), cells, max(1, parts), found.rows or 0)
+    return Blocks(blocks, list(columns), cells, parts, found.rows or 0)
 
 
 def two_sum(hi: np.ndarray, lo: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +123,16 @@ def _merger(table: pa.Table) -> pa.Table:
                      "top": pa.array([None], pa.binary())})
 
 
+#: Schema of partial vectors: (hi, lo) of a segment of the sums, and maxima.
+PARTIAL = "segment int, part long, vector binary, top binary"
+
+
+def tree_merge(partial: DataFrame) -> DataFrame:
+    """One row per segment: partial vectors added in groups of ``FAN`` tasks, then the groups' sums."""
+    return (partial.withColumn("_group", F.floor(F.col("part") / FAN)).groupBy("segment", "_group")
+            .applyInArrow(_merger, PARTIAL).groupBy("segment").applyInArrow(_merger, PARTIAL))
+
+
 def block_sums(blocks: Blocks, kernel: Callable, state, size: int, where=None) -> tuple[np.ndarray, np.ndarray]:
     """(sums, maxima) of ``kernel(block, state)`` over all blocks, or those with
     ``where(cell)``: the kernel returns a vector of ``size`` doubles, or that
@@ -149,24 +164,21 @@ def block_sums(blocks: Blocks, kernel: Callable, state, size: int, where=None) -
                      pa.array([top.tobytes() if top is not None and s == 0 else None], pa.binary())],
                     ["segment", "part", "vector", "top"])
 
-    schema = "segment int, part long, vector binary, top binary"
-    partial = blocks.df.mapInArrow(run, schema)
+    partial = blocks.df.mapInArrow(run, PARTIAL)
     if direct:
-        rows = partial.collect()
-        tops = [np.frombuffer(r.top, dtype=np.float64) for r in rows if r.top is not None]
+        rows = partial.toArrow().to_pylist()
     else:
         partial = partial.persist(StorageLevel.MEMORY_AND_DISK)
-        tops = [np.frombuffer(r.top, dtype=np.float64) for r in partial.where("top is not null").select("top").collect()]
-        merged = (partial.withColumn("_group", F.floor(F.col("part") / FAN)).groupBy("segment", "_group")
-                  .applyInArrow(_merger, schema).groupBy("segment").applyInArrow(_merger, schema))
-        rows = merged.collect()
+        tops = partial.where("top is not null").select("top").toArrow().to_pylist()
+        rows = tree_merge(partial).toArrow().to_pylist()
         partial.unpersist()
     held.release()
+    tops = [np.frombuffer(r["top"], dtype=np.float64) for r in (rows if direct else tops) if r["top"] is not None]
     top = np.maximum.reduce(tops) if tops else np.zeros(0)
     out = np.zeros(size)
-    for s in sorted({r.segment for r in rows}):
-        own = _merge(np.frombuffer(r.vector, dtype=np.float64)
-                     for r in sorted((r for r in rows if r.segment == s), key=lambda r: r.part))
+    for s in sorted({r["segment"] for r in rows}):
+        own = _merge(np.frombuffer(r["vector"], dtype=np.float64)
+                     for r in sorted((r for r in rows if r["segment"] == s), key=lambda r: r["part"]))
         half = len(own) // 2
         low = 0 if direct else s * SEGMENT
         out[low:low + half] = own[:half] + own[half:]

@@ -105,11 +105,3 @@ def require_target(df: DataFrame, target: str) -> None:
     """C17: the target must survive cleaning."""
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found; columns: {df.columns}")
-
-
-def feature_frame(df: DataFrame, target: str, features: Sequence[str] | None = None,
-                  label: str = "label") -> DataFrame:
-    """Every feature as double plus ``label`` (target last)."""
-    feats = [c for c in (features or df.columns) if c != target]
-    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in feats],
-                     F.col(f"`{target}`").cast("double").alias(label))

@@ -102,47 +102,79 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_processed(df: DataFrame, target: str, path: str) -> None:
-    """Features then target (last), overwrite."""
+    """The columns with the target last, overwrite."""
     cols = [c for c in df.columns if c != target] + [target]
     df.select(*[F.col(f"`{c}`") for c in cols]).write.mode("overwrite").parquet(path)
 
 
-def read_processed(spark: SparkSession, path: str, target: str) -> tuple[DataFrame, list[str]]:
-    """Processed table and its ordered feature names."""
+def read_processed(spark: SparkSession, path: str, target: str,
+                   key: str | None = None) -> tuple[DataFrame, list[str]]:
+    """Processed table and its ordered feature names (all but target and key)."""
     df = spark.read.parquet(path)
-    return df, [c for c in df.columns if c != target]
+    return df, [c for c in df.columns if c not in (target, key)]
+
+
+def _folder(spark: SparkSession, path: str):
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return to, to.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_numbers(spark: SparkSession, root: str, name: str, finished: bool = True) -> list[int]:
+    """Numbers n of the folders ``<root>/<name><n>``; ``finished``: those with a success mark."""
+    to, fs = _folder(spark, root)
+    if not fs.exists(to):
+        return []
+    out = []
+    for status in fs.listStatus(to):
+        own = status.getPath().getName()
+        if own.startswith(name) and own[len(name):].isdigit() and (
+                not finished or path_exists(spark, f"{root}/{own}/_SUCCESS")):
+            out.append(int(own[len(name):]))
+    return out
+
+
+def publish(spark: SparkSession, df: DataFrame, root: str, name: str) -> str:
+    """Write the next version ``<root>/<name><n>``. Its success mark is the
+    pointer that readers follow (the greatest finished number), so a reader sees
+    this version whole or the one before it; nothing is renamed, and what a
+    lost writer left is passed over. Two writers at once: one takes the number,
+    the other fails."""
+    path = f"{root}/{name}{max(folder_numbers(spark, root, name, finished=False), default=0) + 1}"
+    df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+    return path
+
+
+def versioned_path(spark: SparkSession, path: str) -> str | None:
+    """The newest finished version of a versioned table; None without one."""
+    last = max(folder_numbers(spark, path.rstrip("/"), "v"), default=0)
+    return f"{path.rstrip('/')}/v{last}" if last else None
 
 
 def upsert_runs(spark: SparkSession, new: DataFrame, path: str, key: str = "model",
                 ignore_corrupt: bool = False) -> DataFrame:
     """Rows of the models in ``new`` replace their old rows; other models'
-    rows stay. The merged table is written beside ``path`` and then takes its
-    place by two renames, so ``path`` always names a whole table."""
+    rows stay. The table at ``path`` is a folder of versions: the merged rows
+    are written as the next one, and readers take the newest finished one, so
+    a crash leaves the table as it was. A plain table already at ``path`` (one
+    that was written without versions) is read as the version before the first."""
+    current = versioned_path(spark, path)
+    if current is None and path_exists(spark, path):
+        current = path
     merged = new
-    if path_exists(spark, path):
+    if current is not None:
         try:
-            old = spark.read.parquet(path)
+            old = spark.read.parquet(current)
             merged = old.join(new.select(key).distinct(), key, "left_anti").unionByName(
                 new, allowMissingColumns=True)
         except AnalysisException:  # not a table
             if not ignore_corrupt:
                 raise
-    fresh = f"{path.rstrip('/')}.v{uuid.uuid4().hex[:8]}"
-    merged.write.parquet(fresh)
-    _swap(spark, fresh, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(publish(spark, merged, path.rstrip("/"), "v"))
 
 
-def _swap(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder ``fresh`` in the place of ``path`` and drop what was there."""
-    to = spark._jvm.org.apache.hadoop.fs.Path
-    fs = to(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = to(fresh + ".old")
-    replaced = fs.exists(to(path)) and fs.rename(to(path), old)
-    if not fs.rename(to(fresh), to(path)):
-        raise OSError(f"cannot move {fresh} to {path}")
-    if replaced:
-        fs.delete(old, True)
+def read_versioned(spark: SparkSession, path: str) -> DataFrame:
+    """A table with versions (its newest) or without."""
+    return spark.read.parquet(versioned_path(spark, path) or path)
 
 
 def write_params(spark: SparkSession, params: dict, path: str) -> DataFrame:
@@ -155,16 +187,20 @@ def write_params(spark: SparkSession, params: dict, path: str) -> DataFrame:
 
 def read_results(spark: SparkSession, root: str, datasets: Sequence[int] = range(4),
                  name: str = "all_results") -> DataFrame | None:
-    """``<root>/dataset_<i>/<name>`` for each i that exists and reads,
-    tagged with ``dataset``; None when nothing was found."""
+    """``<root>/dataset_<i>/<name>`` (a table, with versions or without) or
+    ``<name>.csv`` for each i that exists and reads, tagged with ``dataset``;
+    None when nothing was found."""
     parts = []
     for i in datasets:
         p = f"{root.rstrip('/')}/dataset_{i}/{name}"
+        if not path_exists(spark, p):
+            p += ".csv"
         if not path_exists(spark, p):
             continue
         try:
-            parts.append(spark.read.parquet(p).withColumn("dataset", F.lit(int(i))))
-        except Exception:  # noqa: BLE001  an unreadable location is skipped
+            own = read_csv(spark, p) if p.endswith(".csv") else read_versioned(spark, p)
+            parts.append(own.withColumn("dataset", F.lit(int(i))))
+        except AnalysisException:  # no table there; a lost job is not that and propagates
             continue
     if not parts:
         return None
@@ -178,6 +214,3 @@ def write_table(df: DataFrame, path: str) -> None:
     """S11/S12 summary sinks."""
     df.write.mode("overwrite").parquet(path)
 
-
-def numeric_schema(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -39,7 +39,7 @@ def test_blocks_do_not_depend_on_partitions(spark):
         packed = B.pack(df.repartition(parts), ["a", "b"])
         seen.append({r.cell: bytes(r.data) for r in packed.df.collect()})
         packed.release()
-    assert len(seen[0]) == 5 and seen[0] == seen[1] == seen[2]
+    assert len(seen[0]) == 9 and seen[0] == seen[1] == seen[2]
 
 
 def test_sums_are_error_free_and_long_vectors_are_merged_in_segments(spark, monkeypatch):

@@ -46,7 +46,7 @@ def test_two_upserts_keep_both_models(spark, tmp_path):
     io.upsert_runs(spark, spark.createDataFrame([("A", 1.0), ("B", 2.0)], "model string, RMSE double"), path)
     io.upsert_runs(spark, spark.createDataFrame([("B", 3.0)], "model string, RMSE double"), path)
     io.upsert_runs(spark, spark.createDataFrame([("C", 4.0)], "model string, RMSE double"), path)
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("A", 1.0), ("B", 3.0), ("C", 4.0)]
+    assert sorted(map(tuple, io.read_versioned(spark, path).collect())) == [("A", 1.0), ("B", 3.0), ("C", 4.0)]
 
 
 def test_wide_integers_and_gappy_booleans(spark):
@@ -57,3 +57,25 @@ def test_wide_integers_and_gappy_booleans(spark):
     out = io.infer_types(df)
     assert dict(out.dtypes) == {"a": "double", "b": "string", "c": "boolean"}
     assert out.where("a is null").count() == 0
+
+
+def test_an_interrupted_upsert_leaves_the_table_as_it_was(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "runs")
+    io.upsert_runs(spark, spark.createDataFrame([("A", 1.0)], "model string, RMSE double"), path)
+    os.makedirs(f"{path}/v2")  # what a lost writer leaves: no success mark
+    assert [tuple(r) for r in io.read_versioned(spark, path).collect()] == [("A", 1.0)]
+    io.upsert_runs(spark, spark.createDataFrame([("B", 2.0)], "model string, RMSE double"), path)
+    assert sorted(map(tuple, io.read_versioned(spark, path).collect())) == [("A", 1.0), ("B", 2.0)]
+
+
+def test_result_files_in_csv_and_unreadable_places(spark, tmp_path):
+    for i in (0, 1, 3):
+        (tmp_path / f"dataset_{i}").mkdir()
+    (tmp_path / "dataset_0" / "all_results.csv").write_text("MSE,model,run\n1.5,MLP,0\n2.5,MLP,1\n")
+    (tmp_path / "dataset_1" / "all_results").mkdir()  # an empty folder is no table
+    io.upsert_runs(spark, spark.createDataFrame([("A", 0, 9.0)], "model string, run int, MSE double"),
+                   str(tmp_path / "dataset_3" / "all_results"))
+    got = sorted((r.dataset, r.model, r.MSE) for r in io.read_results(spark, str(tmp_path)).collect())
+    assert got == [(0, "MLP", 1.5), (0, "MLP", 2.5), (3, "A", 9.0)]
