@@ -76,7 +76,7 @@ def frame(spark, n=5000):
     (MLPRegressor(hidden_layer_sizes=(6,), max_iter=3, batch_size=256, learning_rate_init=0.01), lambda m: m.theta),
     (MLPRegressor(hidden_layer_sizes=(4,), max_iter=3, solver="lbfgs"), lambda m: m.theta),
     (RBFRegressor(n_centers=6, sigma_mode="per_center", n_init=2), lambda m: np.append(m.centres.ravel(), m.weights)),
-    (FCMNetworkRegressor(n_clusters=3, n_epochs=30), lambda m: np.append(m.centres.ravel(), m.theta))])
+    (FCMNetworkRegressor(n_clusters=3, n_epochs=30, fcm_max_iter=6), lambda m: np.append(m.centres.ravel(), m.theta))])
 def test_a_fit_is_a_function_of_data_and_seed(spark, regressor, numbers):
     """The same numbers to the last bit at 1, 4 and 16 partitions."""
     df, fits = frame(spark), []

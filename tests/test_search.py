@@ -78,8 +78,8 @@ def test_search_uses_every_training_row(spark, monkeypatch):
 CELLS = {
     "RBF Network": [{"n_centers": 7, "sigma_mode": "per_center", "alpha": 1e-3, "n_init": 3},
                     {"n_centers": 4, "sigma": 2.0, "sigma_mode": "fixed", "alpha": 1e-1, "n_init": 1}],
-    "FNN-FCM": [{"n_clusters": 3, "fuzziness": 2.0, "n_epochs": 60, "learning_rate": 0.05},
-                {"n_clusters": 2, "fuzziness": 1.6, "mf_type": "bell", "n_epochs": 40}],
+    "FNN-FCM": [{"n_clusters": 3, "fuzziness": 2.0, "n_epochs": 60, "learning_rate": 0.05, "fcm_max_iter": 8},
+                {"n_clusters": 2, "fuzziness": 1.6, "mf_type": "bell", "n_epochs": 40, "fcm_max_iter": 5}],
     "ANFIS": [{"n_mfs": 2, "mf_type": "gaussian", "n_epochs": 3}, {"n_mfs": 3, "mf_type": "triangular"}],
     "MLP": [{"hidden_layer_sizes": (5,), "max_iter": 4, "batch_size": 64},
             {"hidden_layer_sizes": (4, 3), "solver": "lbfgs", "max_iter": 4}],
@@ -115,7 +115,7 @@ def test_numerical_failures_fail_their_cell_only(folded):
     table = TrainingTable(folded, ["a", "b", "c"], "y", "fold", 3)
     try:
         good, bad = search.score_cells(table, [
-            search.make_regressor("FNN-FCM", {"n_clusters": 2, "n_epochs": 20, "learning_rate": lr}, 0)
+            search.make_regressor("FNN-FCM", {"n_clusters": 2, "n_epochs": 20, "learning_rate": lr, "fcm_max_iter": 4}, 0)
             for lr in (0.01, 1e9)])
     finally:
         table.release()
