@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, share
 from .mph import KeyTable, bucket_of, build_shards
 from .vectors import tree_sum
 
@@ -355,7 +355,7 @@ def hashed_counts(pairs: DataFrame, keys: DataFrame, n_keys: int) -> PairCounts:
     spark = pairs.sparkSession
     shards, built = build_shards(keys, n_keys)
     table = KeyTable(shards, built.collect())
-    held = spark.sparkContext.broadcast(table)
+    held = share(spark, table)
 
     def dense(stream):
         t, vectors, task = held.value, {}, TaskContext.get().partitionId()
@@ -371,7 +371,7 @@ def hashed_counts(pairs: DataFrame, keys: DataFrame, n_keys: int) -> PairCounts:
 
     rows = tree_sum(pairs.select("key", "n").mapInArrow(dense, "shard int, part long, vector binary"),
                     ["shard"], "int64").collect()
-    held.unpersist()
+    held.release()
     counts = {r.shard: bytes(r.vector) for r in rows}
     best = np.zeros(0, dtype=np.int64)
     for shard, vector in counts.items():
@@ -420,6 +420,6 @@ def alignment_table(docs: DataFrame, paths: tuple[str, str] | None = None,
     n_keys = keys.count()
     if n_keys > most_pairs:
         return _joined(rows, pairs, kind, a_path, b_path)
-    held = docs.sparkSession.sparkContext.broadcast(hashed_counts(pairs, keys, n_keys))
+    held = share(docs.sparkSession, hashed_counts(pairs, keys, n_keys))
     figures = ", ".join(f"{c} long" for c in FIGURES)
     return rows.mapInArrow(_looked_up(a_path, b_path, held), f"doc_id {kind}, {figures}, groups_sha256 string")

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, share
 from .eigen import EPS, leading_pairs
 from .vectors import tree_sum
 
@@ -147,14 +147,15 @@ def fit_whitening(fit: DataFrame, k: int = COMPONENTS) -> Whitening:
 
 def identity_error(fit: DataFrame, model: Whitening) -> float | None:
     """Largest absolute entry of the whitened fit list's covariance minus the identity."""
-    k, held = len(model.values), fit.sparkSession.sparkContext.broadcast(model)
+    k, held = len(model.values), share(fit.sparkSession, model)
     if not k:
         return None
 
     def whitened(stream):
+        m = held.value
         for part in stream:
             if part.num_rows:
-                w = held.value.project(_matrix(part.column("x")))
+                w = m.project(_matrix(part.column("x")))
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, w.T)), [f"w{i}" for i in range(k)])
 
     columns = fit.mapInArrow(whitened, ", ".join(f"w{i} double" for i in range(k)))
@@ -166,7 +167,7 @@ def identity_error(fit: DataFrame, model: Whitening) -> float | None:
 def project(rows: DataFrame, key: str, model: Whitening) -> DataFrame:
     """(key, component, deviation, whitened, explained) for each row of
     (key, x) and component, components from 1; deviation as decimal(38,0)."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
+    held = share(rows.sparkSession, model)
 
     def projected(stream):
         m = held.value
