@@ -32,6 +32,8 @@ BLOCK_ROWS = 1024
 #: Bytes of partial vectors that may go to the driver unmerged, and doubles of a segment beyond that.
 DIRECT_BYTES, SEGMENT = 128 << 20, 1 << 16
 FAN = 64
+#: Blocks that a partition is meant for.
+PART_BLOCKS = 64
 
 
 @dataclass
@@ -89,7 +91,7 @@ def pack(df: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS, ha
     spark = df.sparkSession
     width_of_cluster = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
                            spark.sparkContext.defaultParallelism)
-    parts = min(cells, width_of_cluster)
+    parts = min(cells, max(spark.sparkContext.defaultParallelism, min(width_of_cluster, cells // PART_BLOCKS)))
     blocks = (dealt.repartition(parts, "cell").groupBy("cell")
               .applyInArrow(_packer(width), "cell long, data binary").persist(StorageLevel.MEMORY_AND_DISK))
     blocks.count()
