@@ -102,6 +102,32 @@ def box_stats(runs: DataFrame, metric: str, by: Sequence[str] = ("model",),
     return w
 
 
+def box_outliers(runs: DataFrame, metric: str, by: Sequence[str] = ("model",),
+                 whis: float = 1.5, runs_bounded: bool = True) -> DataFrame:
+    """The rows that a box plot draws as single points: (by..., value) of
+    each run outside the fences of its group. Repeated values stay."""
+    keys = list(by)
+    v = runs.select(*keys, _nan_to_null(metric).alias("value")).where(F.col("value").isNotNull())
+    box = small_side(box_stats(runs, metric, by, whis, runs_bounded).select(*keys, "q1", "q3"))
+    reach = F.lit(whis) * (F.col("q3") - F.col("q1"))
+    outside = (F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach)
+    return v.join(box, keys).where(outside).select(*keys, "value")
+
+
+def report_long(runs: DataFrame, by: Sequence[str] = ("model",),
+                metrics: Sequence[str] = ("RMSE", "MAE", "R2", "MAPE")) -> DataFrame:
+    """R9 as one table (report, metric, by..., statistic, value): the bars and
+    boxes of the headline metrics that are there, and the mean of every metric."""
+    keys, out = list(by), None
+    for name, table in report_set(runs, by, metrics).items():
+        kind, _, metric = name.partition("_")
+        shown = table.select(*keys, *[F.col(c).cast("double").alias(c) for c in table.columns if c not in keys])
+        long = shown.unpivot(keys, [c for c in shown.columns if c not in keys], "statistic", "value").select(
+            F.lit(kind).alias("report"), F.lit(metric).alias("metric"), *keys, "statistic", "value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def histogram(df: DataFrame, value: str | Column, bins: int = 50,
               by: Sequence[str] = ()) -> DataFrame:
     """Equal-width histogram over ``[min, max]`` with the last bin

@@ -209,6 +209,42 @@ def q_box(spark, sf):
     return rounded(R.box_stats(runs_table(spark, sf), "MAE"))
 
 
+@register("r6_box_outliers", f"""{RUNS_CTE},
+l AS ({" UNION ALL ".join(f"SELECT model, '{m}' AS metric, \"{m}\" AS v FROM runs" for m in M.METRICS)}),
+q AS (SELECT model, metric, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM l GROUP BY model, metric)
+SELECT model, metric, round(v, 6) AS value FROM l JOIN q USING (model, metric)
+WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)""")
+def q_outliers(spark, sf):
+    runs = cut_lineage(runs_table(spark, sf))
+    out = None
+    for m in M.METRICS:
+        own = R.box_outliers(runs, m).select("model", F.lit(m).alias("metric"), "value")
+        out = own if out is None else out.unionByName(own)
+    return rounded(out)
+
+
+def _box_sql(m: str) -> str:
+    inside = f'"{m}" >= q1 - 1.5 * (q3 - q1) AND "{m}" <= q3 + 1.5 * (q3 - q1)'
+    return f"""SELECT model, q1, median, q3, min(CASE WHEN {inside} THEN "{m}" END) AS whisker_lo,
+      max(CASE WHEN {inside} THEN "{m}" END) AS whisker_hi, count(CASE WHEN NOT ({inside}) THEN 1 END)::DOUBLE AS n_outliers
+    FROM runs JOIN (SELECT model, quantile_cont("{m}", 0.25) AS q1, quantile_cont("{m}", 0.5) AS median,
+      quantile_cont("{m}", 0.75) AS q3 FROM runs GROUP BY model) USING (model) GROUP BY model, q1, median, q3"""
+
+
+_BOX = ("q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")
+
+
+@register("r9_report_tables", f"""{RUNS_CTE}
+{" UNION ALL ".join(
+    [f"SELECT 'bar' AS report, '{m.lower()}' AS metric, model, '{s}' AS statistic, round({f}(\"{m}\"), 6) AS value FROM runs GROUP BY model"
+     for m in ("RMSE", "MAE", "R2", "MAPE") for s, f in (("mean", "avg"), ("std", "stddev_samp"))]
+    + [f"SELECT 'box', '{m.lower()}', model, '{s}', round({s}, 6) FROM ({_box_sql(m)})"
+       for m in ("RMSE", "MAE", "R2", "MAPE") for s in _BOX]
+    + [f"SELECT 'heatmap', 'metrics', model, '{m}', round(avg(\"{m}\"), 6) FROM runs GROUP BY model" for m in M.METRICS])}""")
+def q_report_tables(spark, sf):
+    return rounded(R.report_long(cut_lineage(runs_table(spark, sf))))
+
+
 def _hist_sql(src: str, value: str, keys: str | None, bins: int = 50) -> str:
     k = f"{keys}, " if keys else ""
     on = f"USING ({keys}, bin)" if keys else "USING (bin)"
