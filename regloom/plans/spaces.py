@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -108,13 +108,12 @@ def draws_sql(source: str, model: str, seed: int, trial: str = "trial", digits:
     """The same draws as DuckDB SQL over a query that gives the trials."""
     uniform = (f"('0x' || substr(md5('{seed}:{model}:' || CAST({trial} AS VARCHAR) || ':{{0}}'), 1, 13))"
                f"::BIGINT::DOUBLE / {_BITS}.0")
-    step, sql = f"SELECT {trial} FROM ({source})", ""
+    step = f"SELECT {trial} FROM ({source})"
     for p in SPACES[model]:
         text = _draw(p, f"({uniform.format(p.name)})")
         step = f"SELECT *, {text} AS {p.name} FROM ({step})"
     shown = ", ".join(f"round({p.name}, {digits}) AS {p.name}" if p.real else p.name for p in SPACES[model])
-    sql = f"SELECT {trial}, {shown} FROM ({step})"
-    return sql
+    return f"SELECT {trial}, {shown} FROM ({step})"
 
 
 def parameters(model: str, row: dict) -> dict:
