@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -181,14 +182,57 @@ def test_warc_reader_finds_damage():
         list(warc.read_records(io.BytesIO(warc.member(raw)[:-12])))
 
 
+SPACES = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def plain_units(text):
+    """Distinct units of a text, character by character."""
+    marks, wide, quotes = set(".!?…‼⁇⁈⁉؟۔।॥։።፧။៕᙮"), set("。！？．｡"), set("\"'”’»›)]」』")
+    space, sentences, now, i = set(" \t\n\x0b\x0c\r"), [], "", 0
+    while i < len(text):
+        c = text[i]
+        if c == "\n":
+            sentences.append(now)
+            now, i = "", i + 1
+            continue
+        last, before = text[i - 1] if i else "", text[i - 2] if i > 1 else ""
+        ended = (last in wide and c not in quotes) or (before in wide and last in quotes)
+        spaced = c in space and (last in marks or (before in marks and last in quotes))
+        if (ended or spaced) and now:
+            sentences.append(now)
+            now = ""
+            while i < len(text) and text[i] in space:
+                i += 1
+            if i < len(text):
+                now, i = text[i], i + 1
+            continue
+        now, i = now + c, i + 1
+    return {u for s in [*sentences, now] for u in (cut_long(s) if len(s) > 240 else [s]) if u}
+
+
+def signed(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def cut_long(sentence):
+    out = []
+    for w in SPACES.split(sentence):
+        if len(w) > 120:
+            out.append("".join(c + "\n" * (signed(b + c) % 32 == 0) for b, c in zip(["", *w], w)))
+        else:
+            out.append(w + "\n" * (signed(w) % 8 == 0))
+    return re.split("\n ?", " ".join(out))
+
+
 def test_sketches(docs, none):
     got = iblt.fingerprint_table(docs).collect()
     rows = sorted({(-1 if d.doc_id is None else d.doc_id, d.text or "") for d in docs.collect()},
                   key=lambda x: (-x[0], hashlib.md5(x[1].encode()).hexdigest()))
-    cut, seen = re.compile(iblt.UNIT_END), {}
+    seen = {}
 
     def like(a, b):
-        a, b = ({u for u in cut.split(t) if u} for t in (a, b))
+        a, b = plain_units(a), plain_units(b)
         return 1.0 if not a | b else 1 - len(a ^ b) / (len(a) + len(b))
     for (i, t), (_, nxt) in zip(rows, rows[1:] + rows[:1]):
         k = len(t) // 3
@@ -388,9 +432,8 @@ def test_units_end_in_every_script(spark):
     df = spark.createDataFrame([(2 * i + d, t if d else "") for i, t in enumerate(texts) for d in (0, 1)],
                                "doc_id long, text string").repartition(3)
     got = {r.doc_id: r for r in iblt.fingerprint_table(df).collect()}
-    cut = re.compile(iblt.UNIT_END)
     for i, t in enumerate(texts):
-        a, b = ({u for u in cut.split(x) if u} for x in (t, t[:len(t) - len(t) // 3]))
+        a, b = plain_units(t), plain_units(t[:len(t) - len(t) // 3])
         r = got[2 * i + 1]
         assert r.n_units == len(a) > 10 and r.near_edited == pytest.approx(1 - len(a ^ b) / (len(a) + len(b)))
         assert r.near_edited > 0.5, (i, r.near_edited)
