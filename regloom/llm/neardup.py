@@ -6,11 +6,16 @@ split into ``BANDS * ROWS`` bins by its leading bits; a bin keeps its least
 hash, an empty bin takes the value of the first filled bin on its own fixed
 probe sequence. Each band of bins is a bucket key. In a bucket, candidates are
 the edges from one centre to the other members (a star), not all pairs; they
-are confirmed on the full shingle sets. Where a bucket still spans several
-components, further members become centres, from the smallest and the largest
-component of the bucket, twice as many each round, until every bucket lies in
-one component or all its members have been centres. So no pair that shares a
-bucket is lost, and groups of true copies cost one edge per member. A pair at
+are confirmed on the full shingle sets. The centre is the member that meets
+most others over all its buckets: of texts edited from one, the least edited.
+Where a bucket still spans several components, the members outside its largest
+one meet those of other components, in one join that passes a pair only when
+it can be linked: a class carries the parity of its hashes in ``MARK_BITS``
+bits, two sets differ in at least as many shingles as their marks in bits, and
+the threshold bounds the shingles in which linked sets differ. The members of
+a bucket are dealt by size (linked sets are alike in size) and, past ``CHUNK``,
+by salt. So no pair that shares a bucket is lost, groups of true copies cost
+one edge per member, and full sets are read for pairs that pass only. A pair at
 the threshold 0.85 shares no bucket with probability (1 - 0.85^5)^30 < 3e-8;
 at 0.8 as little takes 44 bands, (1 - 0.8^5)^44 < 3e-8.
 
@@ -21,10 +26,12 @@ one class. An empty table gives an empty table."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -33,6 +40,10 @@ from .graph import components
 BANDS, ROWS = 30, 5
 SHINGLE = 3
 PERCENT = 85
+#: Bits of the parity mark of a set; wide sets differ in more and pass to the full comparison.
+MARK_BITS = 1024
+#: Members of a bucket that one task compares with a member outside the largest component.
+CHUNK = 512
 #: Words whose hash a task remembers; past that it starts anew.
 HELD = 1 << 20
 PROBES = 1024
@@ -104,20 +115,28 @@ def bands(hashes: np.ndarray, n_bands: int, rows: int, probes: np.ndarray) -> np
     return key.view(np.int64)
 
 
+def mark(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the number of hashes at each of ``MARK_BITS`` places, as 64-bit words."""
+    at = (hashes % np.uint64(MARK_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=MARK_BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def _sketches(n_bands: int, rows: int, width: int):
     def run(stream):
         words, probes = _WordHash(), _probes(n_bands * rows)
         for part in stream:
-            size, key, keys = [], [], []
+            size, key, keys, marks = [], [], [], []
             for text in part.column("text").to_pylist():
                 s = shingle_set(text, words, width)
                 size.append(len(s))
                 key.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(bands(s, n_bands, rows, probes) if len(s) else None)
+                marks.append(mark(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("_id"), pa.array(size, pa.int64()),
-                 pa.array(key, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "_id", "n_shingles", "set_key", "bands"])
+                 pa.array(key, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(marks, pa.list_(pa.int64()))],
+                ["doc_id", "_id", "n_shingles", "set_key", "bands", "mark"])
     return run
 
 
@@ -138,35 +157,66 @@ def _with_id(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_id", F.md5(F.concat_ws("|", d, t).cast("binary")))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` whose full sets reach the threshold. The length
-    filter comes first: the smaller set bounds the intersection."""
-    sizes = sets.select("cls", F.size("hashes").alias("n"))
-    near = (pairs.join(sizes.toDF("u", "nu"), "u").join(sizes.toDF("v", "nv"), "v")
-            .where(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent).select("u", "v"))
-    both = (near.join(sets.toDF("u", "hu"), "u").join(sets.toDF("v", "hv"), "v"))
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sets of ``{a}n`` and ``{b}n`` shingles with marks ``{a}m`` and
+    ``{b}m`` can reach the threshold: their sizes allow it, and their marks
+    differ in no more bits than linked sets in shingles."""
+    bits = " + ".join(f"bit_count({a}m[{i}] ^ {b}m[{i}])" for i in range(MARK_BITS // 64))
+    return F.expr(f"least({a}n, {b}n) * 100 >= greatest({a}n, {b}n) * {percent} "
+                  f"and ({bits}) * {100 + percent} <= ({a}n + {b}n) * {100 - percent}")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, reps: DataFrame, percent: int, width: int) -> DataFrame:
+    """The (u, v) of ``pairs`` whose full sets reach the threshold. ``reps``
+    names a row of ``texts`` for each class."""
+    pairs = materialize(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
+    sets = materialize(texts.join(reps.join(wanted, "cls"), "_id").select("cls", "text")
+                       .mapInArrow(_sets(width), "cls long, hashes array<long>")
+                       .dropDuplicates(["cls"]), "sets")
+    both = pairs.join(sets.toDF("u", "hu"), "u").join(sets.toDF("v", "hv"), "v")
     common = F.size(F.array_intersect("hu", "hv"))
     return (both.select("u", "v", (F.size("hu") + F.size("hv")).alias("total"), common.alias("common"))
             .where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent)
             .select("u", "v"))
 
 
-def _next_stars(members: DataFrame, labels: DataFrame, done: DataFrame, count: int):
-    """Of the buckets that still span several components: the centres of the
-    next round and the members to compare them with."""
-    open_ = (members.join(labels.toDF("cls", "comp"), "cls", "left")
-             .withColumn("comp", F.coalesce("comp", "cls")))
-    split = open_.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
-    open_ = materialize(open_.join(split.select("key"), "key")
-                        .join(done, ["key", "cls"], "left_anti"), "open")
-    sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    sized = open_.join(sizes, ["key", "comp"])
-    small = Window.partitionBy("key").orderBy("n", "cls")
-    large = Window.partitionBy("key").orderBy(F.desc("n"), "cls")
-    centres = (sized.withColumn("r", F.row_number().over(small)).where(F.col("r") <= count).drop("r")
-               .union(sized.withColumn("r", F.row_number().over(large)).where(F.col("r") <= count).drop("r"))
-               .select("key", "cls", "comp").distinct())
-    return open_, materialize(centres, "centres")
+def _members(classes: DataFrame) -> DataFrame:
+    """(key, cls, centre) of the buckets with several members."""
+    keyed = classes.select("cls", F.explode("bands").alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = materialize(keyed.join(sizes, "key"), "members")
+    met = members.groupBy("cls").agg(F.sum("n").alias("met"))
+    centres = (members.select("key", "cls").join(met, "cls").groupBy("key")
+               .agg(F.min_by("cls", F.struct(-F.col("met"), F.col("cls"))).alias("centre")))
+    return members.select("key", "cls").join(centres, "key")
+
+
+def _across(members: DataFrame, labels: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The (u, v) of different components that share a bucket and may be linked."""
+    parted = (members.select("key", "cls").join(labels.toDF("cls", "comp"), "cls", "left")
+              .withColumn("comp", F.coalesce("comp", "cls")))
+    sizes = parted.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    split = (sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"),
+                                      F.sum("n").alias("held"), F.count(F.lit(1)).alias("comps"))
+             .where("comps > 1").drop("comps"))
+    # a shade wider than the threshold's ratio, so that sizes that allow a link are at most one step apart
+    step = F.floor(F.ln("n") / (1.001 * max(math.log(100 / percent), 1e-6)))
+    salts = F.ceil(F.col("held") / CHUNK)
+    dealt = materialize(parted.join(split, "key").join(marks.toDF("cls", "n", "m"), "cls")
+                        .withColumn("step", step).withColumn("salts", salts), "open")
+    ours = dealt.select("key", "step", F.pmod(F.xxhash64("cls"), "salts").alias("salt"),
+                        F.col("cls").alias("a"), F.col("comp").alias("ac"), F.col("n").alias("an"),
+                        F.col("m").alias("am"), (F.col("comp") == F.col("main")).alias("inside"))
+    outside = (dealt.where("comp != main")
+               .select("key", F.explode(F.sequence(F.col("step") - 1, F.col("step") + 1)).alias("step"), "salts",
+                       F.col("cls").alias("b"), F.col("comp").alias("bc"), F.col("n").alias("bn"),
+                       F.col("m").alias("bm"))
+               .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts"))
+    return (ours.join(outside, ["key", "step", "salt"])
+            .where((F.col("ac") != F.col("bc")) & (F.col("inside") | (F.col("a") < F.col("b")))
+                   & _may_link("a", "b", percent))
+            .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, n_bands: int = BANDS,
@@ -178,37 +228,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n_bands: int = BAND
     sketched = materialize(tagged.mapInArrow(
         _sketches(n_bands, rows, width),
         f"doc_id {dict(docs.dtypes)['doc_id']}, _id string, n_shingles long, set_key binary, "
-        "bands array<long>"), "sketch")
+        "bands array<long>, mark array<long>"), "sketch")
     classes = materialize(
-        sketched.where("n_shingles > 0").dropDuplicates(["set_key"])
+        sketched.where("n_shingles > 0").drop("doc_id").dropDuplicates(["set_key"])
         .withColumn("cls", F.monotonically_increasing_id()), "classes")
 
-    keyed = classes.select("cls", F.explode("bands").alias("key"))
-    buckets = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("centre"))
-               .where("n > 1").drop("n"))
-    members = materialize(keyed.join(buckets, "key"), "members")
-    reps = members.select("cls").distinct().join(classes.select("cls", "_id"), "cls")
-    sets = materialize(tagged.select("_id", "text").join(reps, "_id").select("cls", "text")
-                       .mapInArrow(_sets(width), "cls long, hashes array<long>")
-                       .dropDuplicates(["cls"]), "sets")
-
-    pairs = members.where("cls != centre").select(F.col("cls").alias("u"), F.col("centre").alias("v")).distinct()
-    edges = components(_linked(pairs, sets, percent))
-    done = members.where("cls = centre").select("key", "cls")
-    members, count = members.select("key", "cls"), 1
-    while True:
-        open_, centres = _next_stars(members, edges, done, count)
-        if centres.isEmpty():
-            break
-        met = (open_.join(centres.toDF("key", "c", "c_comp"), "key")
-               .where((F.col("cls") != F.col("c")) & (F.col("comp") != F.col("c_comp")))
-               .select(F.greatest("cls", "c").alias("u"), F.least("cls", "c").alias("v")).distinct())
-        links = materialize(_linked(met, sets, percent), "links")
-        if not links.isEmpty():
-            edges = components(edges.union(links))
-        members = open_.select("key", "cls")
-        done = centres.select("key", "cls")
-        count *= 2
+    marks = classes.select("cls", "n_shingles", "mark")
+    reps = classes.select("cls", "_id")
+    texts = tagged.select("_id", "text")
+    members = materialize(_members(classes), "members")
+
+    stars = (members.where("cls != centre")
+             .select(F.greatest("cls", "centre").alias("u"), F.least("cls", "centre").alias("v")).distinct()
+             .join(marks.toDF("u", "an", "am"), "u").join(marks.toDF("v", "bn", "bm"), "v")
+             .where(_may_link("a", "b", percent)).select("u", "v"))
+    edges = components(_confirmed(stars, texts, reps, percent, width))
+    across = _confirmed(_across(members, edges, marks, percent), texts, reps, percent, width)
+    edges = components(edges.union(across))
 
     labels = (classes.select("set_key", "cls").join(edges.toDF("cls", "comp"), "cls", "left")
               .select("set_key", F.coalesce("comp", "cls").alias("comp")))

@@ -4,6 +4,7 @@ nulls, empty and long texts, clashing extra columns, and on an empty table."""
 import base64
 import hashlib
 import io
+import random
 import re
 import zlib
 from collections import Counter
@@ -125,6 +126,34 @@ def test_chain_of_near_duplicates_is_one_component(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_edited_copies_around_the_threshold(spark, monkeypatch):
+    """Copies of one text with 0 to 12 changed words of 150: many share a bucket
+    without a link, some are linked with a member that is not the centre only."""
+    rng, base = random.Random(5), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        words = list(base[:150 - rng.choice((0, 0, 10, 25))])
+        for at in rng.sample(range(len(words)), rng.randrange(13)):
+            words[at] = f"x{rng.randrange(60)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_components(rows)
+    assert 5 < len({c for _, _, c in expected}) < 155
+    for chunk in (512, 7):
+        monkeypatch.setattr(neardup, "CHUNK", chunk)
+        got = neardup.near_table(df).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
+
+
+def test_marks_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 900, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.r_[a[size // 5:], rng.integers(0, 1 << 63, size // 7, dtype=np.uint64)])
+        bits = sum(int(x).bit_count() for x in (neardup.mark(a) ^ neardup.mark(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b)) and neardup.mark(a).size == neardup.MARK_BITS // 64
+
+
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
