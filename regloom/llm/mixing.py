@@ -23,6 +23,8 @@ from .ranks import packed_positions, unpack
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 SUB_BITS = 8
+#: Rates and offsets are whole numbers of 1/ONE copies: products with a position stay inside a long.
+ONE = 1 << 31
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -53,15 +55,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 
 
 def _offset(seed: int) -> Column:
-    """One uniform draw in [0, 1) per source and seed."""
+    """One uniform draw in [0, ONE) per source and seed."""
     text = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("source"), F.lit("")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    return F.shiftrightunsigned(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), 1)
 
 
 def _copies(pos: Column) -> Column:
-    """Integer boundaries crossed by the stretch of the document at ``pos``."""
-    return (F.floor(F.col("_u") + F.col("_rate") * (pos + 1))
-            - F.floor(F.col("_u") + F.col("_rate") * pos)).cast("long")
+    """Integer boundaries crossed by the stretch of the document at ``pos``: the
+    whole part of the rate, and one more where the fraction reaches the next."""
+    whole, part = F.shiftrightunsigned("_rate", 31), F.col("_rate") % ONE
+    start = (F.col("_u") + part * (pos % ONE)) % ONE
+    return whole + (start + part >= ONE).cast("long")
 
 
 def _plan(thin: DataFrame, seed: int, weights, most) -> DataFrame:
@@ -69,7 +73,7 @@ def _plan(thin: DataFrame, seed: int, weights, most) -> DataFrame:
     the source's rate and offset."""
     targets = source_targets(thin, weights, most).select(
         F.col("source").alias("_s"), "rank", "source_size", "target", _offset(seed).alias("_u"),
-        F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)).alias("_rate"))
+        F.floor(F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)) * ONE).alias("_rate"))
     ranked = thin.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     return packed_positions(
         ranked, ["rank"], [F.col("size"), F.shiftrightunsigned("_mix", 60 - SUB_BITS)],

@@ -53,14 +53,14 @@ l AS (SELECT *, cap::DOUBLE / w AS ratio,
         / (sum(w) OVER () - coalesce(sum(w) OVER o, 0))::DOUBLE AS level
       FROM r WINDOW o AS (ORDER BY cap::DOUBLE / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size, least(cap::DOUBLE, w * (SELECT arg_min(level, (ratio, rank)) FROM l WHERE ratio >= level)) AS target,
-        ('0x' || substr(md5('20|' || coalesce(source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296 AS u
+        ('0x' || substr(md5('20|' || coalesce(source, '')), 1, 8))::BIGINT // 2 AS u
       FROM l),
 p AS (SELECT d.doc_id, d.source, d.size, source_size, target, u,
-        CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+        CASE WHEN source_size > 0 THEN floor(target / source_size * {mixing.ONE})::HUGEINT ELSE 0 END AS rate,
         row_number() OVER (PARTITION BY d.source ORDER BY d.size,
           {_HASH.format("coalesce(d.doc_id::VARCHAR, 'null') || '|' || d.size::VARCHAR")}, d.doc_id) - 1 AS pos
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, (floor(u + rate * (pos + 1)) - floor(u + rate * pos))::BIGINT AS copies FROM p)
+c AS (SELECT *, ((u + rate * (pos + 1)) // {mixing.ONE} - (u + rate * pos) // {mixing.ONE})::BIGINT AS copies FROM p)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c
 """
 

@@ -184,6 +184,17 @@ def test_mixing(docs, none):
     assert mixing.mix_table(none).count() == 0 and mixing.mix(none).count() == 0
 
 
+def test_copies_cross_whole_boundaries(spark):
+    """Against integers of any size: the highest offset, rates up to the most, far positions."""
+    one, top = mixing.ONE, 3 * mixing.ONE
+    rows = [(u, rate, pos) for u in (0, 1, one // 3, one - 1) for rate in (0, 1, one - 1, one, 2 * one + 77, top - 1, top)
+            for pos in (0, 1, 699050, (1 << 31) - 1, 1 << 31, 10 ** 12 + 7)]
+    df = spark.createDataFrame(rows, "_u long, _rate long, pos long")
+    for r in df.withColumn("n", mixing._copies(F.col("pos"))).collect():
+        u, rate, pos, n = r
+        assert n == (u + rate * (pos + 1)) // one - (u + rate * pos) // one <= 3
+
+
 def test_warc(spark):
     pages = [(1, "u", "<a>"), (2, "v", "<a>"), (2, "v", "<a>"), (3, None, None), (4, "u\r\nx", ""),
              (None, "n", "<b>"), (5, "w", "é" * 300_000)]
