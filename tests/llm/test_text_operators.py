@@ -374,7 +374,7 @@ def test_pipeline_stages(spark, docs):
         if name == "quality_rules":
             assert {r.doc_id for r in rows} <= {d.doc_id for d in docs.collect()} and len(rows) < docs.count()
     assert "ids_sha256" in corpus_pipeline.STAGES[-1][1](spark, now, None).columns
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 def brute_first(rows, least=10):
