@@ -1,11 +1,13 @@
 """What a pass of many fits adds up: compact Grams, equal asks once, coded columns, even dealing."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from regloom.functions import kernels as K
-from regloom.models import numerics as NP, scans
+from regloom.models import fcm, numerics as NP, rbf, scans
 from regloom.models.anfis import init_premises
 from regloom.operators import blocks as B
 from regloom.plans import search
@@ -60,3 +62,43 @@ def test_blocks_grow_with_a_large_table(spark, monkeypatch):
     packed = B.pack(spark.range(9000).select(F.sin("id").alias("a")), ["a"])
     assert packed.cells == 2
     packed.release()
+
+
+def plain_view(x):
+    d = x.shape[1]
+    return scans.View(None, len(x), 0, np.zeros(d), np.ones(d), x.min(axis=0), x.max(axis=0), np.zeros(d), 0.0)
+
+
+def test_former_memberships_are_formed_only_until_one_has_moved(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.standard_normal((2000, 2)) + c for c in ([0, 0], [4, 1], [1, 5])])
+    rows = scans.Rows(x, x[:, 0], np.ones(6000), np.arange(6000, dtype=np.uint64))
+    table = SimpleNamespace(width=2, starts={(None, 3): rows.take(slice(0, 6000, 50))})
+    formed, real = [], NP.fcm_memberships
+    fit = fcm.cmeans(table, plain_view(x), 3, 2.0, 3)
+    ask, passes, before = next(fit), 0, None
+    with pytest.raises(StopIteration) as end:
+        while True:
+            passes += 1
+            formed.clear()
+            with monkeypatch.context() as m:
+                m.setattr(NP, "fcm_memberships", lambda x, c, e: formed.append(len(x)) or real(x, c, e))
+                sums, top = ask.compute(rows)
+            centres = sums[3:].reshape(3, 2) / (sums[:3, None] + 1e-10)
+            if top[0] >= 1e-5 or passes == 1:
+                assert sum(formed) <= 6000 + fcm.PROBE
+            else:
+                assert sum(formed) == 12_000
+            ask, before = fit.send((sums, top)), centres
+    got, iterations = end.value.value
+    assert iterations == passes > 3 and np.allclose(got, before, atol=1e-4)
+
+
+def test_a_row_between_two_equal_centres_counts_once():
+    x = np.random.default_rng(5).standard_normal((300, 3))
+    rows = scans.Rows(x, x[:, 0], np.full(300, 2.0), np.arange(300, dtype=np.uint64))
+    sums = rbf._assigned([np.vstack([x[:4], x[3]])])(rows)
+    at = ((x[:, None] - x[None, :4]) ** 2).sum(axis=2).argmin(axis=1)
+    assert np.array_equal(sums[:5], [*np.bincount(at, minlength=4) * 2.0, 0.0])
+    assert np.isclose(sums[5], 2.0 * ((x - x[at]) ** 2).sum())
+    assert np.allclose(sums[6:].reshape(3, 5).T[:4], [2.0 * x[at == i].sum(axis=0) for i in range(4)])
