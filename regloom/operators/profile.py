@@ -30,19 +30,18 @@ def _v(df: DataFrame, c: str) -> Column:
 def column_profile(df: DataFrame) -> DataFrame:
     """``(position, column, dtype, n_rows, n_missing, n_distinct)``;
     distinct counts exclude missing values."""
-    cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        aggs += [F.count(_v(df, c)).alias(f"p{i}"), F.count_distinct(_v(df, c)).alias(f"d{i}")]
-    wide = df.agg(*aggs)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
-                 F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                 F.col(f"p{i}").alias("present"), F.col(f"d{i}").alias("n_distinct"))
-        for i, c in enumerate(cols)]))
-    return wide.select("_n", stack.alias("s")).select(
-        "s.position", "s.column", "s.dtype", F.col("_n").alias("n_rows"),
-        (F.col("_n") - F.col("s.present")).alias("n_missing"), "s.n_distinct")
+    # a column at a time: one aggregate of all distinct counts would make a row
+    # of every column's width for each value, and shuffle them together
+    out = None
+    for i, c in enumerate(df.columns):
+        values = df.select(_v(df, c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        n, missing = F.sum("n"), F.sum(F.when(F.col("v").isNull(), F.col("n")))
+        one = values.agg(F.coalesce(n, F.lit(0)).alias("n_rows"), F.coalesce(missing, F.lit(0)).alias("n_missing"),
+                         F.count("v").alias("n_distinct")).select(
+            F.lit(i).alias("position"), F.lit(c).alias("column"),
+            F.lit(df.schema[c].dataType.simpleString()).alias("dtype"), "n_rows", "n_missing", "n_distinct")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

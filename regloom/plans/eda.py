@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as E
 from ..operators import report as R
+from ..session import materialize
 from ..sources import io
 from ..sources.catalog import DatasetSpec
 
@@ -38,9 +39,10 @@ def run_all_eda(spark: SparkSession, specs: list[DatasetSpec]) -> tuple[dict, Da
     tables, status = {}, []
     for spec in specs:
         try:
-            raw = io.read_csv(spark, spec.raw_path)
+            # the profile's many passes read a typed columnar copy, not the text
+            raw = materialize(io.read_csv(spark, spec.raw_path), "raw")
             t = run_eda(raw, spec.target)
-            t["columns"].count()  # surfaces read/parse errors here, per dataset
+            t["columns"] = materialize(t["columns"], "columns")  # surfaces errors here, per dataset
             tables[spec.index] = t
             status.append((spec.index, "ok", None))
         except Exception as e:  # noqa: BLE001
