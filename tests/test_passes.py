@@ -102,3 +102,39 @@ def test_a_row_between_two_equal_centres_counts_once():
     assert np.array_equal(sums[:5], [*np.bincount(at, minlength=4) * 2.0, 0.0])
     assert np.isclose(sums[5], 2.0 * ((x - x[at]) ** 2).sum())
     assert np.allclose(sums[6:].reshape(3, 5).T[:4], [2.0 * x[at == i].sum(axis=0) for i in range(4)])
+
+
+def test_lloyd_steps_of_several_sets_together_are_those_of_each(monkeypatch):
+    rng = np.random.default_rng(6)
+    x, w = rng.standard_normal((700, 4)), rng.integers(1, 4, 700).astype(float)
+    rows = scans.Rows(x, x[:, 0], w, np.arange(700, dtype=np.uint64))
+    sets = [x[rng.choice(700, 5, replace=False)] for _ in range(3)]
+    sets[1][4] = sets[1][0]  # a tie in one of them
+    monkeypatch.setattr(rbf, "STEP_DISTANCES", 1 << 11)
+    got = rbf._assigned(sets)(rows).reshape(3, -1)
+    for own, c in zip(got, sets):
+        gap = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+        at = gap.argmin(axis=1)
+        assert np.array_equal(own[:5], np.bincount(at, weights=w, minlength=5))
+        assert np.isclose(own[5], w @ gap.min(axis=1))
+        assert np.allclose(own[6:].reshape(4, 5), [np.bincount(at, weights=w * column, minlength=5) for column in x.T])
+
+
+def test_repeated_fits_step_together_and_read_their_starts_in_one_pass(spark, monkeypatch):
+    df = spark.range(6000).select(F.sin("id").alias("a"), F.cos(F.col("id") * 0.3).alias("b"))
+    table = scans.TrainingTable(df.withColumn("y", F.col("a") * F.col("b")), ["a", "b"], "y")
+    made = [search.make_regressor("RBF Network", {"n_centers": 6, "alpha": a, "n_init": 1}, seed)
+            for seed in (0, 1) for a in (1e-3, 1e-1)]
+    view, reads, asked = table.view(), [], []
+    real_starts, real_sums = scans.start_rows, scans.block_sums
+    monkeypatch.setattr(scans, "start_rows", lambda t, wanted: reads.append(len(wanted)) or real_starts(t, wanted))
+    monkeypatch.setattr(scans, "block_sums", lambda t, k, s, size: asked.append((len(s), size)) or real_sums(t, k, s, size))
+    together = scans.serve(table, [r.steps(table, view, []) for r in made])
+    assert reads == [2] and len(table.starts) == 2
+    assert asked[0] == (1, 2 * (6 * 3 + 1))  # one computation for two seeds, none for the second alpha
+    table.starts.clear()
+    for r, both in zip(made, together):
+        (alone,) = scans.serve(table, [r.steps(table, view, [])])
+        assert np.allclose(alone.inner.centres, both.inner.centres, rtol=0, atol=1e-9)
+        assert np.allclose(alone.predict_numpy(np.eye(2)), both.predict_numpy(np.eye(2)), atol=1e-7)
+    table.release()
