@@ -57,6 +57,21 @@ def test_blocks_keep_columns_of_few_values_as_codes_and_are_dealt_evenly(spark):
     packed.release()
 
 
+def test_codes_take_no_byte_a_bit_a_byte_or_two_and_give_the_rows_back(spark):
+    df = spark.range(30_000).select(F.sin("id").alias("a"), F.lit(2.5).alias("one"), (F.col("id") % 2).alias("two"),
+                                    (F.col("id") % 90).alias("some"), F.sqrt(F.col("id") % 500).alias("many"))
+    packed = B.pack(df, df.columns, block_rows=4000)
+    rows = packed.df.collect()
+    blocks = [B.read_block(r.cell, r.data, 5) for r in rows]
+    want = np.array(df.toPandas(), dtype=float)
+    got = np.concatenate([b.x for b in blocks])
+    assert np.array_equal(got[np.argsort(got[:, 0])], want[np.argsort(want[:, 0])])
+    assert all(np.array_equal(b.matrix(5, slice(3, 50)), b.x[3:50]) for b in blocks)
+    held = sum(len(r.data) for r in rows) / 30_000
+    assert held < 8 + 8 + 1 / 8 + 1 + 2 + 2  # hash, plain column, codes; tables of values
+    packed.release()
+
+
 def test_blocks_grow_with_a_large_table(spark, monkeypatch):
     monkeypatch.setattr(B, "SPREAD", 2)
     packed = B.pack(spark.range(9000).select(F.sin("id").alias("a")), ["a"])
