@@ -6,6 +6,8 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from regloom.operators import metrics as M
+from regloom.operators import split as S
+from regloom.plans import search
 from regloom.plans import study as T
 from regloom.plans.preprocess import ROW_KEY, load_or_build, prepare
 from regloom.sources import io
@@ -125,3 +127,23 @@ def test_stored_table_is_reused_until_forced(spark, tmp_path):
 
 def test_runs_have_the_nine_metrics(finished):
     assert set(M.METRICS) < set(T.study_results(finished)["runs"].columns)
+
+
+def test_rows_of_a_dataset_are_packed_once_for_all_searches_and_runs(spark, datasets, tmp_path, monkeypatch):
+    packed, real = [], search.TrainingTable
+
+    def counted(*args):
+        packed.append(real(*args))
+        return packed[-1]
+    monkeypatch.setattr(search, "TrainingTable", counted)
+    ledger = T.run_study(spark, str(tmp_path / "study"), datasets[:1], MODELS, **SMALL)
+    assert len(packed) == 1 and set(cells(ledger).values()) == {"done"}
+    monkeypatch.undo()
+    # the same trials as from a table of the search's own
+    table, features, label = datasets[0].load(spark)
+    train = S.holdout(table, [ROW_KEY], search.TEST_SIZE, search.RANDOM_STATE).where("split = 'train'").drop("split")
+    alone = search.cross_validate(spark, train, features, label, [ROW_KEY], "RBF Network", 2, 2,
+                                  overrides=SMALL["overrides"]["RBF Network"])
+    got = ledger.table("search", "trials").where("model = 'RBF Network'").orderBy("trial", "fold").collect()
+    want = alone.trials.orderBy("trial", "fold").collect()
+    assert all(math.isclose(a.rmse, b.rmse, rel_tol=1e-9) for a, b in zip(got, want, strict=True))
