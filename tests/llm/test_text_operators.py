@@ -477,3 +477,14 @@ def test_units_end_in_every_script(spark):
         r = got[2 * i + 1]
         assert r.n_units == len(a) > 10 and r.near_edited == pytest.approx(1 - len(a ^ b) / (len(a) + len(b)))
         assert r.near_edited > 0.5, (i, r.near_edited)
+
+
+def test_peeling_ends_with_its_last_pure_cell_and_gives_exact_counts(spark):
+    rows = [([1 << 20, 5 << 33, 7 << 47], [5 << 33]), ([], []), ([i << 40 for i in range(1, 60)], [i << 21 for i in range(1, 60)])]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").select(
+        *[F.transform(c, iblt._digest).alias(c) for c in ("a", "b")])
+    for width in (4, 256):
+        got = df.select(iblt.peel(iblt.subtract(iblt.sketch(F.col("a"), width), iblt.sketch(F.col("b"), width)), width,
+                                  iblt._most(F.col("a"), F.col("b"), width)).alias("f")).select("f.*").collect()
+        assert [tuple(r) for r in got[:2]] == [(2, True), (0, True)]
+        assert tuple(got[2]) == (118, True) if width == 256 else not got[2].clear or got[2].n == 118
