@@ -488,3 +488,17 @@ def test_peeling_ends_with_its_last_pure_cell_and_gives_exact_counts(spark):
                                   iblt._most(F.col("a"), F.col("b"), width)).alias("f")).select("f.*").collect()
         assert [tuple(r) for r in got[:2]] == [(2, True), (0, True)]
         assert tuple(got[2]) == (118, True) if width == 256 else not got[2].clear or got[2].n == 118
+
+
+def test_small_sketches_compare_bits_in_place_and_hold_the_same_cells(spark):
+    digs = [-(1 << 62) + 977 * (i << 31) + i * 0x1234567 for i in range(-20, 20)]
+    df = spark.createDataFrame([(digs,), ([],)], "d array<long>")
+    cells = iblt.sketch(F.col("d"), iblt.WIDTH)
+    assert "shiftrightunsigned" not in str(cells).lower()  # a fold's step has no shift, mask and sum for each cell
+    want = [[0, 0] for _ in range(3 * iblt.WIDTH)]
+    for d in digs:
+        for row in range(3):
+            cell = want[row * iblt.WIDTH + ((d & (1 << 64) - 1) >> 16 + 12 * row) % iblt.WIDTH]
+            cell[0], cell[1] = cell[0] + 1, cell[1] ^ d
+    got = df.select(cells.alias("s")).collect()
+    assert [list(c) for c in got[0].s] == want and all(tuple(c) == (0, 0) for c in got[1].s)
